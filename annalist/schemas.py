@@ -8,12 +8,11 @@ LIST_RECORD = (
     "orgid STRING, org STRING, orgdat BIGINT, poddat BIGINT, pridat BIGINT, n_vlas STRING, "
     "organs STRING, minjust STRING, npix INT, num INT, orgnum STRING"
 )
-LIST_RECORD_FIELDS = [part.split()[0] for part in LIST_RECORD.split(", ")]
+_LIST_PAIRS = [part.split() for part in LIST_RECORD.split(", ")]
+LIST_RECORD_FIELDS = [name for name, _ in _LIST_PAIRS]
+_LIST_STRUCT = ", ".join(f"{name}: {kind}" for name, kind in _LIST_PAIRS)
 
-LIST_PAGE = (
-    f"cnt INT, `from` INT, max INT, list ARRAY<STRUCT<{LIST_RECORD.replace(' ', ': ').replace(',:', ',')}>>, "
-    "_corrupt_record STRING"
-)
+LIST_PAGE = f"cnt INT, `from` INT, max INT, list ARRAY<STRUCT<{_LIST_STRUCT}>>, _corrupt_record STRING"
 
 MANIFEST = (
     "id STRING, type STRING, title STRING, language STRING, path STRING, name STRING, format STRING, "
