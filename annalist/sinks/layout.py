@@ -45,8 +45,8 @@ def put(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
     if exists(df.sparkSession, path):
         stored = read_area(df, path, parts)
         # One row per touched partition: days times sources.
-        touched = batch.select(*parts).distinct()
-        kept = stored.join(touched, parts, "left_semi").join(batch.select(*keys), keys, "left_anti")
+        touched = df.select(*parts).distinct()
+        kept = stored.join(touched, parts, "left_semi").join(df.select(*keys), keys, "left_anti")
         batch = batch.unionByName(kept)
     (
         batch.hint("rebalance", *parts)
