@@ -1,5 +1,5 @@
 """Annalist: corpus landing, history and reporting jobs on PySpark DataFrames."""
 
-from annalist.session import cut_lineage, session, work_dir
+from annalist.session import cut_lineage, session, spread, work_dir
 
-__all__ = ["cut_lineage", "session", "work_dir"]
+__all__ = ["cut_lineage", "session", "spread", "work_dir"]

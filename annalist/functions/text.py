@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four control separators.
-BLANK = r"[\s\x1c-\x1f]"
-BLANK_IN_LINE = r"[[\s\x1c-\x1f]&&[^\n]]"
-# Each run of blanks is tried once only: the look-behind pins the start of the
-# run and the possessive quantifier forbids giving characters back. Without
-# them a long run of inner blanks would cost quadratic time.
-LINE_TAIL = rf"(?U)(?<!{BLANK_IN_LINE}){BLANK_IN_LINE}++(?=\n|\z)"
-ENDS = rf"(?U)\A{BLANK}++|(?<!{BLANK}){BLANK}++\z"
+# Unicode white space plus the four control separators.
+BLANKS_IN_LINE = (
+    "\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+BLANKS = BLANKS_IN_LINE + "\n"
 
 
 def strip_text(text: Column) -> Column:
     """Both ends stripped of any Unicode blank."""
-    return F.regexp_replace(text, ENDS, "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:
     """True for null, empty or blank-only text."""
-    return text.isNull() | ~text.rlike(r"(?U)[^\s\x1c-\x1f]")
+    return F.coalesce(strip_text(text) == "", F.lit(True))
 
 
 def clean_text(text: Column) -> Column:
-    """Right-strip lines, keep one blank line at most, strip the ends, end with a newline."""
-    lines = F.regexp_replace(text, LINE_TAIL, "")
-    squeezed = F.regexp_replace(lines, r"\n{3,}", "\n\n")
+    """Right-strip lines, keep one blank line at most, strip the ends, end with a newline.
+
+    Trimming works on the bytes in place, several times faster than regular
+    expressions on the decoded text, which remain for long blank gaps only.
+    """
+    lines = F.transform(F.split(text, "\n"), lambda line: F.rtrim(line, F.lit(BLANKS_IN_LINE)))
+    joined = F.array_join(lines, "\n")
+    squeezed = F.when(joined.contains("\n\n\n"), F.regexp_replace(joined, r"\n{3,}", "\n\n")).otherwise(joined)
     return F.concat(strip_text(squeezed), F.lit("\n"))
 
 

@@ -93,10 +93,11 @@ def number_changes(
 
 
 def _changes_in(rows: DataFrame, window: Window, value: str, starts: Column) -> DataFrame:
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.withColumn("_first", F.row_number().over(window) == 1)
         .withColumn("_changed", F.when(F.col("_first"), starts).otherwise(F.lag(value).over(window) != F.col(value)))
-        .withColumn("_version", F.sum(F.col("_changed").cast("long")).over(window))
+        .withColumn("_version", F.sum(F.col("_changed").cast("long")).over(so_far))
     )
 
 

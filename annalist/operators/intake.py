@@ -187,7 +187,7 @@ def render_metrics(rendered: DataFrame, by: list[str] | None = None) -> DataFram
     )
 
 
-def history_batch(rendered: DataFrame) -> DataFrame:
+def history_batch(rendered: DataFrame, run_time: str | Column) -> DataFrame:
     """The columns the document history keeps, with the four stored paths."""
     paths = document_paths(F.col("source"), F.col("source_id"), F.col("revision_date"), F.col("collection_date"))
     stored = ["raw_path_revision", "raw_path_collection", "processed_path_revision", "processed_path_collection"]
@@ -205,5 +205,7 @@ def history_batch(rendered: DataFrame) -> DataFrame:
         "has_text",
         "text_length",
         "word_count",
+        F.lit(run_time).cast("timestamp_ntz").alias("collected_at"),
+        F.lit(None).cast("timestamp_ntz").alias("transformed_at"),
         "seq",
     )

@@ -125,9 +125,7 @@ def run_day(
     layout.save_processed(rendered, store.processed)
 
     # History of documents and types.
-    batch = intake.history_batch(rendered).withColumn("collected_at", history.at(started_at)).withColumn(
-        "transformed_at", F.when(F.col("has_text"), history.at(started_at))
-    )
+    batch = intake.history_batch(rendered, started_at)
     before = store.documents.current()
     actions = store.stage(history.merge_actions(before, batch, history.DOCUMENT), run_id, "actions")
     merged = store.stage(history.merge(before, batch, history.DOCUMENT, started_at), run_id, "merged")

@@ -58,3 +58,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a small scan whose rows cost much to process.
+
+    Scans with at least as many splits as cores, as any large table has, are
+    left as they are. ``df`` must be a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -29,8 +29,9 @@ def ingest_documents(stream: DataFrame, table: HistoryTable, checkpoint: str, la
         rank = moments.withColumn("_rank", F.row_number().over(Window.orderBy(landed)).cast("long"))
         ordered = batch.join(rank, landed).withColumn("seq", F.shiftleft("_rank", 44) + F.col("seq")).drop("_rank")
         documents = intake.accepted(intake.canonicalise(ordered, F.to_date(landed)))
-        rows = intake.history_batch(intake.render(documents))
-        table.commit(history.merge(table.current(), rows, history.DOCUMENT, F.lit(now).cast("timestamp_ntz")))
+        run_time = F.lit(now).cast("timestamp_ntz")
+        rows = intake.history_batch(intake.render(documents), run_time)
+        table.commit(history.merge(table.current(), rows, history.DOCUMENT, run_time))
 
     return (
         stream.writeStream.foreachBatch(merge_batch)

@@ -86,7 +86,8 @@ _TABLES = ["documents", "pages", "benchmark", "part", "supplier", "nation", "reg
 
 
 def _sql(t: Tables, text: str) -> DataFrame:
-    return t.spark.sql(text, **{name: getattr(t, name) for name in _TABLES if "{" + name + "}" in text})
+    used = [name for name in _TABLES if "{" + name + "}" in text]
+    return t.spark.sql(text, **{name: t.texts if name == "documents" else getattr(t, name) for name in used})
 
 
 def listing(t: Tables, number: int) -> DataFrame:
@@ -112,7 +113,7 @@ def documents(t: Tables, number: int) -> DataFrame:
 
 
 def batch(t: Tables, number: int) -> DataFrame:
-    return intake.history_batch(intake.render(documents(t, number)))
+    return intake.history_batch(intake.render(documents(t, number)), TIME_1 if number == 1 else TIME_2)
 
 
 def empty(t: Tables, schema: str) -> DataFrame:

@@ -30,7 +30,7 @@ def scd2_dictionary(t: Tables) -> DataFrame:
     "scd2_actions",
     with_feed(
         """SELECT b.source, count_if(h.source IS NULL)::BIGINT AS inserted,
-          count_if(h.content_hash <> b.content_hash)::BIGINT AS updated, count_if(h.content_hash = b.content_hash)::BIGINT AS unchanged
+          count(*) FILTER (h.content_hash <> b.content_hash) AS updated, count(*) FILTER (h.content_hash = b.content_hash) AS unchanged
         FROM batch2 b LEFT JOIN hist1 h ON h.source = b.source AND h.source_id = b.source_id GROUP BY b.source"""
     ),
 )

@@ -7,6 +7,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from annalist.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -21,6 +23,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents, spread over the cores for work on their texts."""
+        return spread(self.documents, "doc_id")
+
 
 def _run(build: Callable[[Tables], DataFrame], spark: SparkSession, folder: str) -> DataFrame:
     return build(Tables(spark, folder))

@@ -260,7 +260,7 @@ _RUN_1 = _run_sql(
 _RUN_2 = _run_sql(
     2, "second", TIME_2, "2025-03-01 00:10:00",
     """SELECT b.source, count_if(h.source IS NULL)::BIGINT AS documents_new,
-      count_if(h.content_hash <> b.content_hash)::BIGINT AS documents_updated, count_if(h.content_hash = b.content_hash)::BIGINT AS documents_unchanged
+      count(*) FILTER (h.content_hash <> b.content_hash) AS documents_updated, count(*) FILTER (h.content_hash = b.content_hash) AS documents_unchanged
     FROM batch2 b LEFT JOIN hist1 h ON h.source = b.source AND h.source_id = b.source_id GROUP BY b.source""",
     "hist2 WHERE is_current",
 )

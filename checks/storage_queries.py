@@ -96,10 +96,7 @@ def history_table(t: Tables) -> DataFrame:
     """Two merges through the stored table; the second reads the rows in force only."""
     table = HistoryTable(t.spark, work_dir(t.spark, "documents"), schemas.DOCUMENTS)
     for number, time in ((1, TIME_1), (2, TIME_2)):
-        batch = feed.batch(t, number).withColumn("collected_at", history.at(time)).withColumn(
-            "transformed_at", history.at(time)
-        )
-        table.commit(history.merge(table.current(), batch, history.DOCUMENT, time))
+        table.commit(history.merge(table.current(), feed.batch(t, number), history.DOCUMENT, time))
     return table.read().select(*DOCUMENT_COLUMNS)
 
 
@@ -137,12 +134,11 @@ def dictionary_reader(t: Tables) -> DataFrame:
     name = F.translate("name", _LATIN, _CYRILLIC)
     line = F.concat_ws("\n", F.concat(F.col("id").cast("string"), F.lit("\t"), name, F.lit(" \textra\r")), F.lit("x\tbad\n\n7"))
     # One byte per letter: the code page's letters are moved to the code points
-    # of their bytes, which latin-1 then writes as they are.
+    # of their bytes, and the latin-1 bytes are written as they are.
     coded = F.translate(line, upper.decode("cp1251", errors="replace"), upper.decode("latin-1"))
     (
-        names.select("dict_type", coded.alias("value"))
-        .write.option("encoding", "iso-8859-1")
-        .option("maxRecordsPerFile", 100_000)
+        names.select("dict_type", F.encode(coded, "iso-8859-1").cast("string").alias("value"))
+        .write.option("maxRecordsPerFile", 100_000)
         .partitionBy("dict_type")
         .text(path)
     )

@@ -21,7 +21,7 @@ def joined(column: str):
 
 @query("clean_text", f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
 def clean_text(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
+    return t.texts.select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query(
@@ -41,7 +41,7 @@ def clean_pages(t: Tables) -> DataFrame:
 )
 def text_metrics(t: Tables) -> DataFrame:
     text = F.col("text")
-    return t.documents.select(
+    return t.texts.select(
         "doc_id", "source", T.text_length(text).alias("text_length"), T.word_count(text).alias("word_count")
     )
 
@@ -210,7 +210,7 @@ def path_derivation(t: Tables) -> DataFrame:
     """SELECT source, cast(doc_id AS VARCHAR) AS source_id, split_part(text, chr(10), 1) AS title FROM documents""",
 )
 def list_title_preferred(t: Tables) -> DataFrame:
-    base = t.documents.select("source", F.col("doc_id").cast("string").alias("source_id"), "text")
+    base = t.texts.select("source", F.col("doc_id").cast("string").alias("source_id"), "text")
     cards = base.withColumn("title", T.decode_cp1251(F.encode(F.col("text"), "utf-8"))).drop("text")
     listing = base.withColumn("title", F.split_part("text", F.lit("\n"), F.lit(1)))
     return intake.prefer_list_title(cards, listing)
