@@ -105,7 +105,7 @@ def run_day(
     documents = intake.accepted(canonical)
     stored = history.current_state(store.documents.current())
     classified = store.stage(intake.classify(documents, stored, skip_existing), run_id, "classified")
-    artefacts.write_artefact(intake.filter_report(classified), store.temp, day, run_id, "filter_documents")
+    artefacts.write_artefact(artefacts.filter_report(classified), store.temp, day, run_id, "filter_documents")
 
     # Texts of the worklist go to the raw area, failures to the artefacts.
     fetched = store.stage(intake.attach_texts(intake.worklist(classified), reader.texts(spark)), run_id, "fetched")

@@ -129,7 +129,7 @@ def listed_records(pages: DataFrame, max_pages: int | None = MAX_PAGES) -> DataF
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One landed file per document; the id is the file name."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return rows.select(file_stem(F.col("_metadata.file_path")).alias("source_id"), F.col("value").alias("text"))
 
 
