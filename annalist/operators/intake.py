@@ -151,6 +151,17 @@ def first_failures(failed: DataFrame, count: int = 10) -> DataFrame:
     return failed.orderBy("source", "seq").limit(count)
 
 
+def measure(documents: DataFrame) -> DataFrame:
+    """Add the measures of the raw text."""
+    text = F.col("text")
+    return documents.select(
+        "*",
+        text.isNotNull().alias("has_text"),
+        T.text_length(text).alias("text_length"),
+        T.word_count(text).alias("word_count"),
+    )
+
+
 def render(documents: DataFrame, escape: bool = True) -> DataFrame:
     """Add ``markdown``, the measures of the raw text and ``outcome``.
 
@@ -170,9 +181,7 @@ def render(documents: DataFrame, escape: bool = True) -> DataFrame:
     )
     blank = T.is_blank(F.col("text"))
     return (
-        documents.withColumn("has_text", F.col("text").isNotNull())
-        .withColumn("text_length", T.text_length(F.col("text")))
-        .withColumn("word_count", T.word_count(F.col("text")))
+        measure(documents)
         .withColumn("markdown", F.when(~blank, T.markdown(head, F.col("text"))))
         .withColumn("outcome", F.when(blank, "skipped").when(F.col("markdown").isNull(), "failed").otherwise("success"))
     )
@@ -187,11 +196,11 @@ def render_metrics(rendered: DataFrame, by: list[str] | None = None) -> DataFram
     )
 
 
-def history_batch(rendered: DataFrame, run_time: str | Column) -> DataFrame:
+def history_batch(measured: DataFrame, run_time: str | Column) -> DataFrame:
     """The columns the document history keeps, with the four stored paths."""
     paths = document_paths(F.col("source"), F.col("source_id"), F.col("revision_date"), F.col("collection_date"))
     stored = ["raw_path_revision", "raw_path_collection", "processed_path_revision", "processed_path_collection"]
-    return rendered.select(
+    return measured.select(
         "source",
         "source_id",
         "source_reg",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bounds of the length buckets.
@@ -34,12 +34,10 @@ def corpus_statistics(documents: DataFrame, by: list[str] | None = None) -> Data
 
 
 def with_share(counts: DataFrame, count: str, by: list[str] | None = None) -> DataFrame:
-    """Add ``percent`` of the total. Meant for grouped counts: the totals come
-    from a second small aggregate, so no group is gathered in one task."""
-    by = by or []
-    totals = counts.groupBy(*by).agg(F.sum(count).alias("_total"))
-    joined = counts.join(totals, by) if by else counts.join(F.broadcast(totals), F.lit(True))
-    return joined.withColumn("percent", F.round(F.col(count) / F.col("_total") * 100, 2)).drop("_total")
+    """Add ``percent`` of the total per group. Meant for grouped counts: what is
+    gathered is one row per bucket, never the documents."""
+    total = F.sum(count).over(Window.partitionBy(*(by or [])))
+    return counts.withColumn("percent", F.round(F.col(count) / total * 100, 2))
 
 
 def status_distribution(documents: DataFrame, dictionary: DataFrame) -> DataFrame:

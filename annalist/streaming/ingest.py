@@ -30,7 +30,7 @@ def ingest_documents(stream: DataFrame, table: HistoryTable, checkpoint: str, la
         ordered = batch.join(rank, landed).withColumn("seq", F.shiftleft("_rank", 44) + F.col("seq")).drop("_rank")
         documents = intake.accepted(intake.canonicalise(ordered, F.to_date(landed)))
         run_time = F.lit(now).cast("timestamp_ntz")
-        rows = intake.history_batch(intake.render(documents), run_time)
+        rows = intake.history_batch(intake.measure(documents), run_time)
         table.commit(history.merge(table.current(), rows, history.DOCUMENT, run_time))
 
     return (

@@ -41,9 +41,8 @@ def plain(value):
     return value
 
 
-def compare(spark, connection, folder: str, name: str) -> tuple[bool, str]:
+def compare(df, connection, name: str) -> tuple[bool, str]:
     started = time.time()
-    df = QUERIES[name](spark, folder)
     columns = sorted(df.columns)
     kinds = {f.name: SPARK_KIND.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     rows = Counter(tuple(plain(row[c]) for c in columns) for row in df.toLocalIterator())
@@ -70,7 +69,7 @@ def main(folder: str, names: list[str]) -> int:
     bad = 0
     for name in names or QUERIES:
         try:
-            same, note = compare(spark, connection, folder, name)
+            same, note = compare(QUERIES[name](spark, folder), connection, name)
         except Exception as error:  # report and go on with the next query
             same, note = False, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += not same

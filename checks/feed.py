@@ -113,7 +113,7 @@ def documents(t: Tables, number: int) -> DataFrame:
 
 
 def batch(t: Tables, number: int) -> DataFrame:
-    return intake.history_batch(intake.render(documents(t, number)), TIME_1 if number == 1 else TIME_2)
+    return intake.history_batch(intake.measure(documents(t, number)), TIME_1 if number == 1 else TIME_2)
 
 
 def empty(t: Tables, schema: str) -> DataFrame:

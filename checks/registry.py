@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,16 +14,19 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The given tables of one scale, read lazily by name."""
+    """The given tables of one scale, opened once each."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Called for names not yet set; the table is kept under its name.
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
-    @property
+    @cached_property
     def texts(self) -> DataFrame:
         """The documents, spread over the cores for work on their texts."""
         return spread(self.documents, "doc_id")

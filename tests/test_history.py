@@ -51,7 +51,7 @@ def as_set(rows):
     return sorted(tuple(str(r[c]) for c in COLUMNS) for r in rows)
 
 
-@pytest.mark.parametrize("limit", [1, 3, 7, 100_000])
+@pytest.mark.parametrize("limit", [1, 5, 100_000])
 def test_merge_equals_row_by_row(spark, limit):
     source = random.Random(limit)
     keys = [f"k{i}" for i in range(20)]
@@ -159,7 +159,7 @@ def test_types_merge(spark):
     assert sorted(tuple(r) for r in delta.collect()) == [("a", 1, "close"), ("a", 3, "open")]
 
 
-@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
+@pytest.mark.parametrize("unit", ["hour", "day"])
 def test_point_in_time_equals_brute_force(spark, unit):
     source = random.Random(3)
     base = dt.datetime(2024, 1, 1)
