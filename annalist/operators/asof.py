@@ -5,45 +5,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.operators.chains import BROADCAST_KEYS, HOT_KEY_ROWS
+
 
 def point_in_time(
-    facts: DataFrame, versions: DataFrame, keys: list[str], time: str, columns: list[str], unit: str = "hour"
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: list[str],
+    time: str,
+    columns: list[str],
+    unit: str = "hour",
+    hot_limit: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Left join: each fact keeps its row and gets ``columns`` of the version in force.
 
     Periods of one key must not overlap. Both sides are cut by key and time
     ``unit``. A fact is compared with the versions that began in its own unit;
     the version carried in from earlier units comes from a summary with one row
-    per key and unit. A key with many facts or many versions is thus spread over
-    its units, and what one task orders is bounded by the units of the calendar.
+    per key and unit. So what one task orders is bounded by the units of the
+    calendar, and a key with many facts or versions is spread over its units.
+    Units in which a key still has more than ``hot_limit`` facts are cut further
+    into slices, each of which sees all the versions of the unit.
     """
-    state = [c for c in dict.fromkeys([*columns, "valid_from", "valid_to"])]
-    starts = versions.select(*keys, F.date_trunc(unit, "valid_from").cast("timestamp_ntz").alias("_unit"), F.struct(*state).alias("_state"))
+    cell = [*keys, "_unit"]
+    state = list(dict.fromkeys([*columns, "valid_from", "valid_to"]))
+    starts = versions.select(
+        *keys,
+        F.date_trunc(unit, "valid_from").cast("timestamp_ntz").alias("_unit"),
+        F.struct(*state).alias("_state"),
+    )
     rows = facts.withColumn("_unit", F.date_trunc(unit, F.col(time)).cast("timestamp_ntz"))
+    sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
 
-    last_started = starts.groupBy(*keys, "_unit").agg(F.max_by("_state", "_state.valid_from").alias("_last"))
-    asked = rows.select(*keys, "_unit").distinct().withColumn("_asked", F.lit(True))
     timeline = (
-        last_started.unionByName(asked, allowMissingColumns=True)
-        .groupBy(*keys, "_unit")
+        starts.groupBy(*cell)
+        .agg(F.max_by("_state", "_state.valid_from").alias("_last"))
+        .unionByName(sizes.select(*cell, F.lit(True).alias("_asked")), allowMissingColumns=True)
+        .groupBy(*cell)
         .agg(F.any_value("_last", ignoreNulls=True).alias("_last"), F.max("_asked").alias("_asked"))
     )
     earlier = Window.partitionBy(*keys).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         timeline.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
         .filter("_asked")
-        .select(*keys, "_unit", "_carried")
+        .select(*cell, "_carried")
+    )
+
+    hot = sizes.filter(F.col("_rows") > hot_limit).select(
+        *cell, F.ceil(F.col("_rows") / F.lit(hot_limit)).cast("int").alias("_slices")
     )
+    count = hot.count()
+    if count:
+        if count <= BROADCAST_KEYS:
+            hot = F.broadcast(hot)
+        # Copies of a fact spread by the partition they are read from.
+        placed = rows.withColumn("_place", F.xxhash64(*facts.columns, F.spark_partition_id()))
+        place = F.coalesce(F.pmod("_place", "_slices").cast("int"), F.lit(0))
+        rows = placed.join(hot, cell, "left").withColumn("_slice", place).drop("_slices", "_place")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
+        starts = starts.join(hot, cell, "left").withColumn("_slice", every).drop("_slices")
+        carried = carried.join(hot, cell, "left").withColumn("_slice", every).drop("_slices")
+        cell = [*cell, "_slice"]
 
-    at = F.col(time)
+    begun = F.col("v._state.valid_from") <= F.col(f"f.{time}")
+    lasting = F.col("v._state.valid_to").isNull() | (F.col("v._state.valid_to") > F.col(f"f.{time}"))
     same = rows.alias("f").join(
-        starts.alias("v"),
-        [F.col(f"f.{k}") == F.col(f"v.{k}") for k in [*keys, "_unit"]]
-        + [F.col("v._state.valid_from") <= F.col(f"f.{time}")]
-        + [F.col("v._state.valid_to").isNull() | (F.col("v._state.valid_to") > F.col(f"f.{time}"))],
-        "left",
+        starts.alias("v"), [*[F.col(f"f.{c}") == F.col(f"v.{c}") for c in cell], begun, lasting], "left"
     )
-    joined = same.select("f.*", F.col("v._state").alias("_own")).join(carried, [*keys, "_unit"], "left")
-    still_open = F.col("_carried.valid_to").isNull() | (F.col("_carried.valid_to") > at)
+    joined = same.select("f.*", F.col("v._state").alias("_own")).join(carried, cell, "left")
+    still_open = F.col("_carried.valid_to").isNull() | (F.col("_carried.valid_to") > F.col(time))
     matched = F.coalesce("_own", F.when(still_open, F.col("_carried")))
     return joined.select(*facts.columns, *[matched[c].alias(c) for c in columns])

@@ -7,6 +7,7 @@ step is computed twice and a lost executor costs only its own tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,26 +15,43 @@ from pyspark.sql import functions as F
 from annalist import schemas
 from annalist.operators import doctypes, history, intake, ledger, quality, retention, snapshots, stats
 from annalist.sinks import artefacts, layout
-from annalist.sinks.files import exists
+from annalist.sinks.files import child_names, exists
 from annalist.sinks.tables import HistoryTable
 from annalist.sources.landing import list_objects
 from annalist.sources.registry import SourceReader
 
 
+HISTORIES = {
+    "dictionaries": schemas.DICTIONARIES,
+    "documents": schemas.DOCUMENTS,
+    "document_types": schemas.DOCUMENT_TYPES,
+}
+
+
 class Store:
-    """All tables and areas of one installation, below one root."""
+    """All tables and areas of one installation, below one root.
+
+    Each source has its own history tables, so a run rewrites the rows in force
+    of its own source only.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.dictionaries = HistoryTable(spark, f"{self.root}/tables/dictionaries", schemas.DICTIONARIES)
-        self.documents = HistoryTable(spark, f"{self.root}/tables/documents", schemas.DOCUMENTS)
-        self.document_types = HistoryTable(spark, f"{self.root}/tables/document_types", schemas.DOCUMENT_TYPES)
         self.raw = f"{self.root}/raw"
         self.processed = f"{self.root}/processed"
         self.dictionary_area = f"{self.root}/dictionaries"
         self.temp = f"{self.root}/temp"
 
+    def table(self, name: str, source: str) -> HistoryTable:
+        return HistoryTable(self.spark, f"{self.root}/tables/{name}/source={source}", HISTORIES[name])
+
+    def read(self, name: str) -> DataFrame:
+        """All versions of all sources."""
+        folders = child_names(self.spark, f"{self.root}/tables/{name}")
+        tables = [self.table(name, folder.removeprefix("source=")).read() for folder in folders]
+        return reduce(DataFrame.unionByName, tables, self.spark.createDataFrame([], HISTORIES[name]))
+
     def _keyed(self, name: str, schema: str) -> DataFrame:
         """Small keyed tables are kept as one folder per run or day."""
         path = f"{self.root}/tables/{name}"
@@ -73,10 +91,11 @@ class RunResult:
 def collect_dictionaries(reader: SourceReader, store: Store, run_id: str, run_time: str, day: str) -> DataFrame:
     """Merge the landed dictionaries and snapshot the result; returns action counts."""
     batch = store.stage(reader.dictionaries(store.spark), run_id, "dictionaries")
-    stored = store.dictionaries.current()
+    table = store.table("dictionaries", reader.name)
+    stored = table.current()
     actions = store.stage(history.merge_actions(stored, batch, history.DICTIONARY), run_id, "dictionary_actions")
-    store.dictionaries.commit(history.merge(stored, batch, history.DICTIONARY, run_time))
-    snapshot = snapshots.snapshot_rows(store.dictionaries.current().filter(F.col("source") == reader.name), day)
+    table.commit(history.merge(stored, batch, history.DICTIONARY, run_time))
+    snapshot = snapshots.snapshot_rows(table.current(), day)
     artefacts.write_snapshot(snapshot, store.dictionary_area)
     store.replace("dictionary_snapshots", snapshots.register_rows(snapshot), f"part={reader.name}-{day}")
     return history.action_counts(actions, ["source", "dict_type"])
@@ -97,13 +116,17 @@ def run_day(
     All times are given, none is taken from the clock, so a rerun is equal.
     """
     spark, day = store.spark, started_at[:10]
+    document_table = store.table("documents", reader.name)
+    type_table = store.table("document_types", reader.name)
     collect_dictionaries(reader, store, run_id, started_at, day)
 
     # List, limit, worklist. Copies of a record count once per occurrence.
     listing = intake.first_documents(reader.listing(spark), max_documents)
     canonical = store.stage(intake.canonicalise(listing, day), run_id, "canonical")
+    listed = canonical.select("source", "source_id", "raw_metadata", "reject_reason", "seq")
+    artefacts.write_artefact(listed, store.temp, day, run_id, "document_list")
     documents = intake.accepted(canonical)
-    stored = history.current_state(store.documents.current())
+    stored = history.current_state(document_table.current())
     classified = store.stage(intake.classify(documents, stored, skip_existing), run_id, "classified")
     artefacts.write_artefact(artefacts.filter_report(classified), store.temp, day, run_id, "filter_documents")
 
@@ -126,21 +149,17 @@ def run_day(
 
     # History of documents and types.
     batch = intake.history_batch(rendered, started_at)
-    before = store.documents.current()
+    before = document_table.current()
     actions = store.stage(history.merge_actions(before, batch, history.DOCUMENT), run_id, "actions")
     merged = store.stage(history.merge(before, batch, history.DOCUMENT, started_at), run_id, "merged")
-    store.documents.commit(merged)
-    store.document_types.commit(
-        doctypes.merge_types(store.document_types.current(), doctypes.listed_types(merged), started_at)
-    )
+    document_table.commit(merged)
+    type_table.commit(doctypes.merge_types(type_table.current(), doctypes.listed_types(merged), started_at))
 
     # Ledger, checks and report read the committed tables.
-    live = history.current_rows(store.documents.current(), reader.name)
-    run = ledger.run_rows(
-        canonical, actions, intake.rejected(canonical), live, run_id, started_at, completed_at
-    )
+    live = document_table.current()
+    run = ledger.run_rows(canonical, actions, intake.rejected(canonical), live, run_id, started_at, completed_at)
     store.replace("collection_runs", run.select(*[f.split()[0] for f in schemas.RUNS.split(", ")]), f"part={run_id}")
-    statuses = quality.valid_statuses(store.dictionaries.current())
+    statuses = quality.valid_statuses(store.table("dictionaries", reader.name).current())
     checked = quality.flag_documents(live, statuses, min_text_length)
     scores = quality.quality_score(quality.check_counts(checked, ["source"]))
     statistics = stats.corpus_statistics(live, ["source"])

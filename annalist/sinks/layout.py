@@ -46,7 +46,7 @@ def put(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
         stored = read_area(df, path, parts)
         # One row per touched partition: days times sources.
         touched = df.select(*parts).distinct()
-        kept = stored.join(touched, parts, "left_semi").join(df.select(*keys), keys, "left_anti")
+        kept = stored.join(touched, parts, "left_semi").join(df.select(*keys).distinct(), keys, "left_anti")
         batch = batch.unionByName(kept)
     (
         batch.hint("rebalance", *parts)

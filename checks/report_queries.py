@@ -190,7 +190,8 @@ def dictionary_counts(t: Tables) -> DataFrame:
         f"""SELECT 'documents (current)' AS metric, count(*) AS rows FROM hist2 WHERE is_current
         UNION ALL SELECT 'documents (total)', count(*) FROM hist2
         UNION ALL SELECT 'dictionaries', count(*) FROM dicthist WHERE is_current
-        UNION ALL SELECT 'document types', count(*) FROM ({_TYPES_1}) AS t"""
+        UNION ALL SELECT 'document types', count(*) FROM ({_TYPES_1}) AS t
+        UNION ALL SELECT 'collection runs', count(*) FROM (SELECT DISTINCT user_id, cast(ts AS DATE) FROM events) AS r"""
     ),
 )
 def table_counts(t: Tables) -> DataFrame:
@@ -201,6 +202,7 @@ def table_counts(t: Tables) -> DataFrame:
             "documents (total)": documents,
             "dictionaries": dictionaries.filter("is_current"),
             "document types": types_1(t),
+            "collection runs": event_runs(t),
         }
     )
 

@@ -159,8 +159,8 @@ def test_types_merge(spark):
     assert sorted(tuple(r) for r in delta.collect()) == [("a", 1, "close"), ("a", 3, "open")]
 
 
-@pytest.mark.parametrize("unit", ["hour", "day"])
-def test_point_in_time_equals_brute_force(spark, unit):
+@pytest.mark.parametrize(("unit", "limit"), [("hour", 100), ("day", 5)])
+def test_point_in_time_equals_brute_force(spark, unit, limit):
     source = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     versions, facts = [], []
@@ -179,7 +179,7 @@ def test_point_in_time_equals_brute_force(spark, unit):
     )
     v = spark.createDataFrame(versions, "k INT, name STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ")
     f = spark.createDataFrame(facts, "i INT, k INT, at TIMESTAMP_NTZ").repartition(3)
-    got = asof.point_in_time(f, v, ["k"], "at", ["name"], unit).select("i", "k", "name").collect()
+    got = asof.point_in_time(f, v, ["k"], "at", ["name"], unit, limit).select("i", "k", "name").collect()
     assert sorted(tuple(r) for r in got) == expected
 
 

@@ -174,17 +174,17 @@ def test_two_days(spark, tmp_path):
     assert second.worklist.first()["saved_percent"] == 50.0
     assert tuple(second.actions.first()) == ("s", 1, 2, 1)
 
-    live = {r["source_id"]: r for r in store.documents.current().collect()}
+    live = {r["source_id"]: r for r in store.table("documents", "s").current().collect()}
     assert sorted(live) == ["1", "2", "3", "4", "6"]
     assert (live["2"]["title"], live["2"]["text_length"]) == ("New title", 3)
     assert live["1"]["raw_path_revision"] == "by_revision/source=s/year=2026/month=02/day=01/1.txt"
     assert live["1"]["text_length"] == len("one, again")
     # An unchanged document keeps its measures; only its paths follow the run.
     assert (live["4"]["has_text"], live["4"]["raw_path_collection"]) == (False, "by_collection/date=2026-02-02/source=s/4.txt")
-    everything = store.documents.read()
+    everything = store.read("documents")
     assert everything.count() == 7
     assert history.overlapping_periods(everything, ["source", "source_id"]).isEmpty()
-    types = store.document_types.read().join(store.documents.current().select("version_id", "source_id"), "version_id")
+    types = store.read("document_types").join(store.table("documents", "s").current().select("version_id", "source_id"), "version_id")
     assert sorted((r["source_id"], r["type_id"]) for r in types.collect() if r["is_current"]) == [("1", 6), ("1", 95), ("2", 95), ("3", 95), ("4", 95), ("6", 95)]
 
     runs = {r["run_id"]: r for r in store.runs().collect()}
@@ -211,7 +211,7 @@ def test_rerun_of_a_day(spark, tmp_path):
     for _ in range(2):
         result = run_day(reader, store, "run", "2026-02-01 00:00:00", "2026-02-01 00:10:00")
     assert tuple(result.actions.first()) == ("s", 0, 0, 2)
-    assert store.documents.read().count() == 2 and store.runs().count() == 1
+    assert store.read("documents").count() == 2 and store.runs().count() == 1
 
 
 def test_stream_ingest(spark, tmp_path):
