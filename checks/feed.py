@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from annalist import schemas
 from annalist.functions.text import strip_text
 from annalist.operators import history, intake, quality
-from checks.registry import Tables
+from checks.registry import Tables, once
 
 TIME_1 = "2024-02-01 00:00:00"
 TIME_2 = "2025-03-01 00:00:00"
@@ -90,52 +90,64 @@ def _sql(t: Tables, text: str) -> DataFrame:
     return t.spark.sql(text, **{name: t.texts if name == "documents" else getattr(t, name) for name in used})
 
 
+@once
 def listing(t: Tables, number: int) -> DataFrame:
     return _sql(t, LIST_1 if number == 1 else LIST_2)
 
 
+@once
 def dictionary_batch(t: Tables, number: int) -> DataFrame:
     return _sql(t, DICT_1 if number == 1 else DICT_2)
 
 
+@once
 def status_dictionary(t: Tables) -> DataFrame:
     return _sql(t, STATUS_DICT.replace("{listing}", LIST_1))
 
 
+@once
 def canonical(t: Tables, number: int) -> DataFrame:
     return intake.canonicalise(listing(t, number), DAY_1 if number == 1 else DAY_2)
 
 
+@once
 def documents(t: Tables, number: int) -> DataFrame:
     """Accepted documents with their stripped text."""
     text = F.nullif(strip_text(F.col("text")), F.lit(""))
     return intake.accepted(canonical(t, number)).withColumn("text", text)
 
 
+@once
 def batch(t: Tables, number: int) -> DataFrame:
     return intake.history_batch(intake.measure(documents(t, number)), TIME_1 if number == 1 else TIME_2)
 
 
+@once
 def empty(t: Tables, schema: str) -> DataFrame:
     return t.spark.createDataFrame([], schema)
 
 
+@once
 def history_1(t: Tables) -> DataFrame:
     return history.merge(empty(t, schemas.DOCUMENTS), batch(t, 1), history.DOCUMENT, TIME_1)
 
 
+@once
 def history_2(t: Tables) -> DataFrame:
     return history.merge(history_1(t), batch(t, 2), history.DOCUMENT, TIME_2)
 
 
+@once
 def dictionary_1(t: Tables) -> DataFrame:
     return history.merge(empty(t, schemas.DICTIONARIES), dictionary_batch(t, 1), history.DICTIONARY, TIME_1)
 
 
+@once
 def dictionary_2(t: Tables) -> DataFrame:
     return history.merge(dictionary_1(t), dictionary_batch(t, 2), history.DICTIONARY, TIME_2)
 
 
+@once
 def flagged(t: Tables) -> DataFrame:
     live = history.current_rows(history_1(t))
     return quality.flag_documents(live, quality.valid_statuses(status_dictionary(t)))

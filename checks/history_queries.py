@@ -9,7 +9,7 @@ from annalist import schemas
 from annalist.operators import asof, chains, doctypes, history
 from checks import feed
 from checks.feed import TIME_1, TIME_2, with_feed
-from checks.registry import Tables, query
+from checks.registry import Tables, once, query
 
 DOCUMENT_COLUMNS = [c.split()[0] for c in schemas.DOCUMENTS.split(", ") if c.split()[0] not in {"collected_at", "transformed_at"}]
 DICTIONARY_COLUMNS = [c.split()[0] for c in schemas.DICTIONARIES.split(", ")]
@@ -76,12 +76,14 @@ def scd2_repeated_keys(t: Tables) -> DataFrame:
     return history.merge(stored, batch, USER_STATE, TIME_1).drop("created_at", "updated_at")
 
 
+@once
 def types_1(t: Tables) -> DataFrame:
     return doctypes.merge_types(
         feed.empty(t, schemas.DOCUMENT_TYPES), doctypes.listed_types(feed.history_1(t)), TIME_1
     )
 
 
+@once
 def types_2(t: Tables) -> DataFrame:
     return doctypes.merge_types(types_1(t), doctypes.listed_types(feed.history_2(t)), TIME_2)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, partial
+from functools import cached_property, partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +32,19 @@ class Tables:
         return spread(self.documents, "doc_id")
 
 
+def once(build: Callable) -> Callable:
+    """Build a shared input once per query, however often the query refers to it."""
+
+    @wraps(build)
+    def get(t: Tables, *arguments) -> DataFrame:
+        key = f"{build.__module__}.{build.__name__}{arguments}"
+        if key not in t.__dict__:
+            t.__dict__[key] = build(t, *arguments)
+        return t.__dict__[key]
+
+    return get
+
+
 def _run(build: Callable[[Tables], DataFrame], spark: SparkSession, folder: str) -> DataFrame:
     return build(Tables(spark, folder))
 

@@ -11,7 +11,7 @@ from annalist.sinks import artefacts
 from checks import feed
 from checks.feed import DAY_1, DAY_2, TIME_1, TIME_2, with_feed
 from checks.history_queries import _TYPES_1, types_1
-from checks.registry import Tables, query
+from checks.registry import Tables, once, query
 from checks.text_queries import _CLASSIFIED, classified
 
 _COUNTS = """SELECT source, count(*) AS total_documents, count_if(empty_title)::BIGINT AS empty_title,
@@ -20,6 +20,7 @@ _COUNTS = """SELECT source, count(*) AS total_documents, count_if(empty_title)::
 _SCORE = "round(cast(total_documents - empty_title - invalid_status AS DOUBLE) / total_documents * 100, 2) AS quality_score"
 
 
+@once
 def live_1(t: Tables) -> DataFrame:
     return history.current_rows(feed.history_1(t))
 
@@ -227,6 +228,7 @@ def storage_footprint(t: Tables) -> DataFrame:
 # --- ledger -----------------------------------------------------------------
 
 
+@once
 def run_1(t: Tables) -> DataFrame:
     stored = feed.empty(t, schemas.DOCUMENTS)
     actions = history.merge_actions(stored, feed.batch(t, 1), history.DOCUMENT)
@@ -234,6 +236,7 @@ def run_1(t: Tables) -> DataFrame:
     return ledger.run_rows(listed, actions, intake.rejected(listed), live_1(t), "first", TIME_1, "2024-02-01 00:10:00")
 
 
+@once
 def run_2(t: Tables) -> DataFrame:
     actions = history.merge_actions(feed.history_1(t), feed.batch(t, 2), history.DOCUMENT)
     listed = feed.canonical(t, 2)

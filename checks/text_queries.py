@@ -12,7 +12,7 @@ from annalist.operators import history, intake
 from annalist.sources import landing, markdown
 from checks import feed
 from checks.feed import sql_clean, sql_day, sql_hash, sql_ids, sql_words, with_feed
-from checks.registry import Tables, query
+from checks.registry import Tables, once, query
 
 
 def joined(column: str):
@@ -262,6 +262,7 @@ WHERE c.reject_reason IS NULL
 """
 
 
+@once
 def classified(t: Tables, skip_existing: bool = True) -> DataFrame:
     listed = intake.accepted(feed.canonical(t, 2)).drop("text")
     return intake.classify(listed, history.current_state(feed.history_1(t)), skip_existing)
@@ -294,7 +295,7 @@ def worklist_metrics(t: Tables) -> DataFrame:
     ),
 )
 def worklist_unfiltered(t: Tables) -> DataFrame:
-    return intake.worklist_metrics(classified(t, skip_existing=False), ["source"])
+    return intake.worklist_metrics(classified(t, False), ["source"])
 
 
 @query(

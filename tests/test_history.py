@@ -68,6 +68,7 @@ def test_merge_equals_row_by_row(spark, limit):
     b1, b2 = spark.createDataFrame(first, BATCH).repartition(3), spark.createDataFrame(second, BATCH).repartition(3)
 
     h1 = history.merge(empty, b1, STATE, T1, hot_limit=limit)
+    h1 = spark.createDataFrame(h1.collect(), h1.schema)
     rows1, actions1 = model([], first, T1)
     assert as_set(h1.collect()) == as_set(rows1)
     got = history.merge_actions(empty, b1, STATE, hot_limit=limit).select("k", "seq", "action").collect()
@@ -75,6 +76,7 @@ def test_merge_equals_row_by_row(spark, limit):
 
     current = [r for r in rows1 if r["valid_to"] is None]
     h2 = history.merge(h1, b2, STATE, T2, hot_limit=limit)
+    h2 = spark.createDataFrame(h2.collect(), h2.schema)
     rows2, actions2 = model(current, second, T2)
     assert as_set(h2.collect()) == as_set(rows2)
     got = history.merge_actions(h1, b2, STATE, hot_limit=limit).select("k", "seq", "action").collect()
