@@ -110,9 +110,15 @@ def run_day(
     skip_existing: bool = True,
     max_documents: int = 0,
     min_text_length: int = quality.MIN_TEXT_LENGTH,
+    whole_list: bool = True,
 ) -> RunResult:
     """Dictionaries, list, worklist, texts, cleaning, history, checks, report.
 
+    With ``whole_list`` every listed document is rendered again from the raw
+    area and merged, so a changed title or status is seen even if the date did
+    not move. Without it only the worklist is, and the raw area is not read:
+    the choice where the corpus is large and the daily change is small.
+
     All times are given, none is taken from the clock, so a rerun is equal.
     """
     spark, day = store.spark, started_at[:10]
@@ -136,14 +142,15 @@ def run_day(
     failed = intake.failures(fetched)
     artefacts.write_artefact(failed, store.temp, day, run_id, "failed_documents")
 
-    # The whole list is rendered from the raw area: cleaning and measures in one pass.
+    # Cleaning and measures in one pass over the texts.
     raw_path = f"{store.raw}/by_revision"
-    if exists(spark, raw_path):
-        area = layout.read_area(layout.by_revision(fetched.select(*layout.RAW_COLUMNS)), raw_path, layout.REVISION_PARTS)
-        texts = area.filter(F.col("source") == reader.name).select("source", "source_id", "revision_date", "text")
+    if whole_list and exists(spark, raw_path):
+        like = layout.by_revision(fetched.select(*layout.RAW_COLUMNS))
+        area = layout.read_area(like, raw_path, layout.REVISION_PARTS).filter(F.col("source") == reader.name)
+        texts = area.select("source", "source_id", "revision_date", "text")
+        known = documents.join(texts, ["source", "source_id", "revision_date"], "left")
     else:
-        texts = fetched.select("source", "source_id", "revision_date", "text").limit(0)
-    known = documents.join(texts, ["source", "source_id", "revision_date"], "left")
+        known = fetched
     rendered = store.stage(intake.render(known), run_id, "rendered")
     layout.save_processed(rendered, store.processed)
 

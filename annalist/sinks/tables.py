@@ -50,9 +50,18 @@ class HistoryTable:
             return rows
         return rows.filter(F.col("is_current") & (F.col("commit") == commits[-1])).drop("commit")
 
-    def commit(self, merged: DataFrame) -> int:
-        """Store the result of a merge as one new folder."""
+    def commit(self, merged: DataFrame, number: int | None = None) -> int:
+        """Store the result of a merge as one new folder.
+
+        Without ``number`` the next free one is taken, and of two writers that
+        chose the same one fails. A caller that numbers its commits itself, as a
+        stream does, may write over the remains of its own failed attempt.
+        """
         columns = [field.split()[0] for field in self.schema.split(", ")]
-        number = max(self._folders(), default=0) + 1
-        merged.select(*columns).write.partitionBy("is_current").parquet(f"{self.path}/commit={number}")
+        mode = "error" if number is None else "overwrite"
+        if number is None:
+            number = max(self._folders(), default=0) + 1
+        elif number in self.commits():
+            raise ValueError(f"commit {number} is already stored")
+        merged.select(*columns).write.mode(mode).partitionBy("is_current").parquet(f"{self.path}/commit={number}")
         return number

@@ -13,14 +13,17 @@ from annalist.sinks.tables import HistoryTable
 def ingest_documents(stream: DataFrame, table: HistoryTable, checkpoint: str, landed: str = "landed_at") -> StreamingQuery:
     """Merge newly landed records, then stop.
 
-    ``stream`` carries listed records with text and the landing time. Files are
-    taken once by the checkpoint; should a batch be repeated after a failure,
-    merging it again changes nothing. Within a batch, records are ordered by
+    ``stream`` carries listed records with text and the landing time. Each batch
+    is one commit under the batch's own number, and the stream is the only
+    writer of its table: a batch repeated after a failure finds its commit and
+    is skipped, so every record counts exactly once. Within a batch, records are ordered by
     landing time, then ``seq``; across batches the order of arrival rules, also
     when a revision date goes backwards.
     """
 
-    def merge_batch(batch: DataFrame, _: int) -> None:
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id + 1 in table.commits():
+            return
         now = batch.agg(F.max(landed)).first()[0]
         if now is None:
             return
@@ -31,7 +34,7 @@ def ingest_documents(stream: DataFrame, table: HistoryTable, checkpoint: str, la
         documents = intake.accepted(intake.canonicalise(ordered, F.to_date(landed)))
         run_time = F.lit(now).cast("timestamp_ntz")
         rows = intake.history_batch(intake.measure(documents), run_time)
-        table.commit(history.merge(table.current(), rows, history.DOCUMENT, run_time))
+        table.commit(history.merge(table.current(), rows, history.DOCUMENT, run_time), batch_id + 1)
 
     return (
         stream.writeStream.foreachBatch(merge_batch)

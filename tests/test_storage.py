@@ -214,6 +214,20 @@ def test_rerun_of_a_day(spark, tmp_path):
     assert store.read("documents").count() == 2 and store.runs().count() == 1
 
 
+def test_worklist_only(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    land(tmp_path / "day1", [record(1), record(2)], {1: "one", 2: "two"})
+    land(tmp_path / "day2", [record(1, poddat=20260201), record(2, nazva="New title")], {1: "one, again"})
+    for day in (1, 2):
+        reader = get_source("landing_zone", "s", path=f"{tmp_path}/day{day}")
+        result = run_day(reader, store, f"run{day}", f"2026-02-0{day} 00:00:00", f"2026-02-0{day} 00:10:00", whole_list=False)
+    # The second title is not seen, as its date did not move.
+    assert tuple(result.actions.first()) == ("s", 0, 1, 0)
+    assert tuple(result.transform.first()) == ("s", 1, 1, 0, 0)
+    live = {r["source_id"]: (r["title"], r["text_length"]) for r in store.read("documents").filter("is_current").collect()}
+    assert live == {"1": ("Title 1", 10), "2": ("Title 2", 3)}
+
+
 def test_stream_ingest(spark, tmp_path):
     schema = f"source STRING, seq LONG, {schemas.LIST_RECORD}, text STRING, landed_at TIMESTAMP_NTZ"
     table = HistoryTable(spark, f"{tmp_path}/table", schemas.DOCUMENTS)
@@ -236,6 +250,8 @@ def test_stream_ingest(spark, tmp_path):
     commits = table.commits()
     ingest_documents(spark.readStream.schema(schema).parquet(f"{tmp_path}/landing"), table, f"{tmp_path}/checkpoint").awaitTermination()
     assert table.commits() == commits
+    with pytest.raises(ValueError, match="already stored"):
+        table.commit(table.current(), commits[-1])
 
 
 def test_artefacts(spark, tmp_path):
