@@ -19,20 +19,21 @@ def point_in_time(
 ) -> DataFrame:
     """Left join: each fact keeps its row and gets ``columns`` of the version in force.
 
-    Periods of one key must not overlap. Both sides are cut by key and time
-    ``unit``. A fact is compared with the versions that began in its own unit;
-    the version carried in from earlier units comes from a summary with one row
-    per key and unit. So what one task orders is bounded by the units of the
-    calendar, and a key with many facts or versions is spread over its units.
-    Units in which a key still has more than ``hot_limit`` facts are cut further
-    into slices, each of which sees all the versions of the unit.
+    Periods of one key must not overlap. Facts and versions are cut by key and
+    time ``unit`` and ordered together within each cut, where a fact takes the
+    last version before it: linear work, no pairs. The version in force when a
+    unit begins comes from a summary with one row per key and unit. So a key
+    with many facts or versions is spread over its units, and the ordered pass
+    over the summary is bounded by the units of the calendar. Units in which a
+    key still has more than ``hot_limit`` facts are cut further into slices,
+    each of which sees all the versions of the unit.
     """
     cell = [*keys, "_unit"]
-    state = list(dict.fromkeys([*columns, "valid_from", "valid_to"]))
-    starts = versions.select(
+    known = list(dict.fromkeys([*columns, "valid_from", "valid_to"]))
+    starts = versions.dropna(subset=keys).select(
         *keys,
         F.date_trunc(unit, "valid_from").cast("timestamp_ntz").alias("_unit"),
-        F.struct(*state).alias("_state"),
+        F.struct(*known).alias("_state"),
     )
     rows = facts.withColumn("_unit", F.date_trunc(unit, F.col(time)).cast("timestamp_ntz"))
     sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
@@ -67,12 +68,17 @@ def point_in_time(
         carried = carried.join(hot, cell, "left").withColumn("_slice", every).drop("_slices")
         cell = [*cell, "_slice"]
 
-    begun = F.col("v._state.valid_from") <= F.col(f"f.{time}")
-    lasting = F.col("v._state.valid_to").isNull() | (F.col("v._state.valid_to") > F.col(f"f.{time}"))
-    same = rows.alias("f").join(
-        starts.alias("v"), [*[F.col(f"f.{c}") == F.col(f"v.{c}") for c in cell], begun, lasting], "left"
+    ordered = Window.partitionBy(*cell).orderBy("_time", "_kind")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opening = carried.select(*cell, F.col("_unit").alias("_time"), F.lit(0).alias("_kind"), F.col("_carried").alias("_state"))
+    begun = starts.select(*cell, F.col("_state.valid_from").alias("_time"), F.lit(1).alias("_kind"), "_state")
+    asking = rows.select(*cell, F.col(time).cast("timestamp_ntz").alias("_time"), F.lit(2).alias("_kind"), F.struct(*facts.columns).alias("_fact"))
+    state = F.last("_state", ignorenulls=True).over(so_far)
+    in_force = F.col("_state.valid_to").isNull() | (F.col("_state.valid_to") > F.col("_time"))
+    return (
+        opening.unionByName(begun)
+        .unionByName(asking, allowMissingColumns=True)
+        .withColumn("_state", state)
+        .filter("_kind = 2")
+        .select("_fact.*", *[F.when(in_force, F.col(f"_state.{c}")).alias(c) for c in columns])
     )
-    joined = same.select("f.*", F.col("v._state").alias("_own")).join(carried, cell, "left")
-    still_open = F.col("_carried.valid_to").isNull() | (F.col("_carried.valid_to") > F.col(time))
-    matched = F.coalesce("_own", F.when(still_open, F.col("_carried")))
-    return joined.select(*facts.columns, *[matched[c].alias(c) for c in columns])

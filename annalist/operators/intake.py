@@ -64,7 +64,10 @@ def first_documents(listing: DataFrame, count: int | str, order: str = "seq") ->
 
 
 def prefer_list_title(cards: DataFrame, listing: DataFrame) -> DataFrame:
-    """Titles from the list where it has one, since card titles may be damaged."""
+    """Titles from the list where it has one, since card titles may be damaged.
+
+    ``listing`` holds a document once.
+    """
     titles = listing.select("source", "source_id", F.col("title").alias("_listed"))
     return (
         cards.join(titles, ["source", "source_id"], "left")
