@@ -93,41 +93,45 @@ def merge(
     own = F.struct(F.col("_version").alias("n"), F.lit(True).alias("own"))
     ended = F.struct((F.col("_version") - 1).alias("n"), F.lit(False).alias("own"))
     parts = rows.select("*", F.explode(F.when(F.col("_changed"), F.array(own, ended)).otherwise(F.array(own))).alias("_to"))
-    mine = F.col("_to.own")
-    first = F.struct(
+    parts = parts.select(
+        *spec.keys,
         *kept,
+        *spec.refreshed,
         "content_hash",
+        F.col("_to.n").alias("_n"),
+        F.when(F.col("_to.own"), F.col("_order")).alias("_own_order"),
+        (F.col("_to.own") & head).alias("_head"),
+        (F.col("_to.own") & ~head).alias("_again"),
+        F.when(~F.col("_to.own"), opened).alias("_ended"),
         F.when(is_old, F.col("_old_from")).otherwise(opened).alias("valid_from"),
         F.when(is_old, F.col("_old_created")).otherwise(now).alias("created_at"),
         F.when(is_old, F.col("_old_updated")).otherwise(now).alias("updated_at"),
     )
-    aggregates = [
-        F.any_value(F.when(mine & head, first), ignoreNulls=True).alias("_first"),
-        F.max(F.when(~mine, opened)).alias("valid_to"),
-        F.max(mine & ~head).alias("_seen_again"),
-    ]
-    if spec.refreshed:
-        latest = F.max_by(F.struct(*spec.refreshed), F.when(mine, F.col("_order")))
-        aggregates.append(latest.alias("_latest"))
+    # A version has one head. Each column is aggregated on its own, so that
+    # columns nobody asks for are pruned down to the scan.
     versions = (
-        parts.groupBy(*spec.keys, F.col("_to.n").alias("_n"))
-        .agg(*aggregates)
+        parts.groupBy(*spec.keys, "_n")
+        .agg(
+            F.max("_head").alias("_opened"),
+            F.max("_ended").alias("valid_to"),
+            F.max("_again").alias("_seen_again"),
+            *[
+                F.any_value(F.when(F.col("_head"), F.col(c)), ignoreNulls=True).alias(c)
+                for c in [*kept, "content_hash", "valid_from", "created_at", "updated_at"]
+            ],
+            *[F.max_by(c, "_own_order").alias(c) for c in spec.refreshed],
+        )
         # A brand-new key has no version before its first.
-        .filter(F.col("_first").isNotNull())
+        .filter("_opened")
     )
     touched = F.col("valid_to").isNotNull()
     if spec.refreshed:
         touched = touched | F.col("_seen_again")
     columns = [
-        *[F.col(k) for k in spec.keys],
-        *[F.col(f"_first.{c}").alias(c) for c in kept],
-        *[F.col(f"_latest.{c}").alias(c) for c in spec.refreshed],
-        F.col("_first.content_hash").alias("content_hash"),
-        F.col("_first.valid_from").alias("valid_from"),
-        F.col("valid_to"),
+        *[F.col(c) for c in [*spec.keys, *kept, *spec.refreshed, "content_hash", "valid_from", "valid_to"]],
         F.col("valid_to").isNull().alias("is_current"),
-        F.col("_first.created_at").alias("created_at"),
-        F.when(touched, now).otherwise(F.col("_first.updated_at")).alias("updated_at"),
+        F.col("created_at"),
+        F.when(touched, now).otherwise(F.col("updated_at")).alias("updated_at"),
     ]
     merged = versions.select(*columns)
     if spec.versioned:
