@@ -108,3 +108,19 @@ def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
     return edges[::2], edges[1::2]
+
+
+_letters: list[np.ndarray] = []
+
+
+def letters() -> np.ndarray:
+    """For each code point the code of its lower case if it is a letter, else 0."""
+    if not _letters:
+        table = np.zeros(0x110000, dtype=np.uint32)
+        for code in range(0x110000):
+            char = chr(code)
+            if char.isalpha():
+                lower = char.lower()
+                table[code] = ord(lower) if len(lower) == 1 else code
+        _letters.append(table)
+    return _letters[0]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from annalist.llm.arrays import string_texts
 from annalist.session import work_dir
 
 
@@ -27,3 +31,25 @@ def let(value: Column, body) -> Column:
 def id_hash(column: str) -> Column:
     """crc32 of the decimal text of an id; null ids give null."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def with_results(documents: DataFrame, text: str, results: T.StructType, work, per_slice) -> DataFrame:
+    """``row`` (a struct of all columns as they came) next to result columns computed in Python.
+
+    ``per_slice(texts, work)`` gives one list or array per field of ``results``
+    for a list of strings, null read as empty. Rows stay in their partition, and
+    since the columns travel in a struct no name can clash.
+    """
+    place = documents.columns.index(text)
+    schema = T.StructType([T.StructField("row", documents.schema, True), *results.fields])
+
+    def run(batches):
+        for batch in batches:
+            rows = batch.column(0)
+            for start, stop, texts in string_texts(rows.field(place)):
+                arrays = [rows.slice(start, stop - start)]
+                for field, values in zip(results.fields, per_slice(texts, work), strict=True):
+                    arrays.append(pa.array(values, to_arrow_type(field.dataType)))
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", *results.names])
+
+    return documents.select(F.struct("*").alias("row")).mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup
+from annalist.llm import exact_dedup, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -25,3 +25,11 @@ def query(build):
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    found = toxicity.score(documents, model).select(F.col("row.doc_id").alias("doc_id"), "score", F.size("offending").cast("long").alias("n_offending"))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending")
