@@ -1,6 +1,57 @@
 """DuckDB SQL for the rows of the queries that SQL can express."""
 
+from annalist.llm.quality_rules import RULES, STOP_WORDS
+
+
+def _quality_bounds() -> str:
+    """The limits of the quality rules as a condition on the counts."""
+    out = []
+    for rule in RULES:
+        value = f"CASE WHEN {rule.per} = 0 THEN 0.0 ELSE {rule.measure}::DOUBLE / {rule.per} END" if rule.per else rule.measure
+        out += [f"{value} >= {rule.least}"] if rule.least is not None else []
+        out += [f"{value} <= {rule.most}"] if rule.most is not None else []
+    return " AND ".join(out)
+
+
+def quality_counts(source: str) -> str:
+    """The counts of the quality rules per row of ``source (row_key, text)``, as SQL of a relation."""
+    stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+    return rf"""
+        SELECT row_key, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+               (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines,
+               coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+               len(list_filter(w, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop_words
+        FROM (
+            SELECT row_key, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM {source}
+        ) LEFT JOIN (
+            SELECT row_key, count(DISTINCT place + step) AS n_repeat_words
+            FROM (
+                SELECT row_key, place, count(*) OVER (PARTITION BY row_key, a, b, c) AS n
+                FROM (
+                    SELECT row_key, place, w[place] AS a, w[place + 1] AS b, w[place + 2] AS c
+                    FROM (
+                        SELECT row_key, w, unnest(range(1, len(w) - 1)) AS place
+                        FROM (SELECT row_key, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM {source})
+                    )
+                )
+            ), range(3) AS s(step)
+            WHERE n > 1 GROUP BY row_key
+        ) USING (row_key)
+    """
+
+
+QUALITY_KEPT = _quality_bounds()
+
 SQL: dict[str, str] = {
+    "op8_quality_rules": f"""
+        WITH d AS (SELECT doc_id AS row_key, text FROM documents)
+        SELECT row_key AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {QUALITY_KEPT} AS kept
+        FROM ({quality_counts("d")})
+    """,
     "op1_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

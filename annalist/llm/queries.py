@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup, toxicity
+from annalist.llm import exact_dedup, quality_rules, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -33,3 +33,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(documents, table(spark, folder, "labels"))
     found = toxicity.score(documents, model).select(F.col("row.doc_id").alias("doc_id"), "score", F.size("offending").cast("long").alias("n_offending"))
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.arrays_overlap("failed", F.array(*map(F.lit, quality_rules.BASE)))
+    counts = [F.col(f"measures.{name}") for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts, base.alias("base_failed"), "kept")
