@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup, quality_rules, toxicity
+from annalist.llm import exact_dedup, jaccard_join, quality_rules, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -41,3 +41,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     base = F.arrays_overlap("failed", F.array(*map(F.lit, quality_rules.BASE)))
     counts = [F.col(f"measures.{name}") for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, base.alias("base_failed"), "kept")
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.similar(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "copy_id", "n_links")
