@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -77,14 +78,14 @@ def slices(sizes: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
 def byte_texts(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
     """Slices of a text column as UTF-8 bytes; null counts as empty."""
     binary = column.cast(pa.binary())
-    sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(binary), 0), dtype=np.int64)
+    sizes = np.array(pc.fill_null(pc.binary_length(binary), 0), dtype=np.int64)
     for start, stop in slices(sizes):
         yield start, stop, [v or b"" for v in binary.slice(start, stop - start).to_pylist()]
 
 
 def string_texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
     """Slices of a text column as strings; null counts as empty."""
-    sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    sizes = np.array(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     for start, stop in slices(sizes):
         yield start, stop, [v or "" for v in column.slice(start, stop - start).to_pylist()]
 
@@ -124,3 +125,20 @@ def letters() -> np.ndarray:
                 table[code] = ord(lower) if len(lower) == 1 else code
         _letters.append(table)
     return _letters[0]
+
+
+def sorted_set(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] + values.dtype.type(1)) != 0] if len(values) else values
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and for each value its index among them."""
+    order = np.argsort(values)
+    sorted_values = values[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    index = np.empty(len(values), dtype=np.int64)
+    index[order] = np.cumsum(new) - 1
+    return sorted_values[new], order[new], index

@@ -188,7 +188,7 @@ def without_duplicates(documents: DataFrame, id_column: str = "doc_id", text: st
 
     kept = duplicates(documents, id_column, text).where("kept").select(key(F.col("id"), F.col("sha256"), F.col("points")))
     whole = F.coalesce(F.col("_text"), F.lit(""))
-    digest = F.sha2(F.translate(whole, BLANKS.decode(), "").cast("binary"), 256)
+    digest = F.sha2(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", "").cast("binary"), 256)
     rows = documents.select(F.struct("*").alias("_row"), F.col(id_column).alias("_id"), F.col(text).alias("_text"))
     rows = rows.select("_row", key(F.col("_id"), digest, F.length(whole)))
     return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

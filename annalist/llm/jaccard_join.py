@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.llm.arrays import SpanHashes, byte_texts, joined_bytes, mix, runs
+from annalist.llm.arrays import SpanHashes, byte_texts, joined_bytes, mix, runs, sorted_set
 from annalist.llm.components import components
 from annalist.llm.frames import stage, with_results
 
@@ -63,7 +63,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]
     for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         size = min(words, last - first)
         at = np.arange(first, last - size + 1) if size else np.zeros(0, np.int64)
-        yield np.unique(chain.get(at, at + size))
+        yield sorted_set(chain.get(at, at + size))
 
 
 def set_key(tokens: np.ndarray) -> bytes:

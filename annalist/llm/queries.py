@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup, jaccard_join, quality_rules, toxicity
+from annalist.llm import exact_dedup, jaccard_join, packing, quality_rules, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -47,3 +48,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_join.similar(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "copy_id", "n_links")
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    placed = packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
