@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup, jaccard_join, packing, quality_rules, toxicity
+from annalist.llm import exact_dedup, jaccard_join, language_id, packing, quality_rules, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -54,3 +54,13 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     placed = packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    models = language_id.fit(documents)
+    found = language_id.predicted(documents.select("doc_id", "text"), models)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "rejected").select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected"
+    )
