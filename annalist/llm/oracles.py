@@ -52,6 +52,22 @@ SQL: dict[str, str] = {
                n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {QUALITY_KEPT} AS kept
         FROM ({quality_counts("d")})
     """,
+    "op4_chat_formatting": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), m AS (
+            SELECT *, regexp_replace(text, '(<|\[)(\\*)(\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>|/?INST\])', '\1\\\2\3', 'g') AS held
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length('<|turn|><|text|><|end|>') + length(role) + length(held))::BIGINT AS formatted_chars
+        FROM m GROUP BY conv_id
+    """,
     "op1_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

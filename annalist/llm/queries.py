@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import exact_dedup, jaccard_join, language_id, packing, quality_rules, toxicity
+from annalist.llm import chat, exact_dedup, jaccard_join, language_id, packing, quality_rules, sharding, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -64,3 +64,39 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "rejected").select(
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+@query
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    written = sharding.write_shards(documents.select("doc_id", "text"), sharding.shard_folder(documents))
+    text = F.coalesce("row.text", F.lit("")).cast("binary")
+    return written.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = given.union(planted)
+    formatted = chat.rendered(chat.folded(chat.as_events(rows)))
+    read = chat.read_back(formatted).join(formatted.select(F.col("conv_id").alias("of"), F.length("formatted").cast("long").alias("formatted_chars")), F.col("conv_id").eqNullSafe(F.col("of")))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
