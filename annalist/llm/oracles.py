@@ -1,5 +1,6 @@
 """DuckDB SQL for the rows of the queries that SQL can express."""
 
+from annalist.llm.line_dedup import BLANKS, BLOCK, ENTITIES, HIDDEN, LEAST_PAGES, RATIO
 from annalist.llm.quality_rules import RULES, STOP_WORDS
 
 
@@ -43,6 +44,33 @@ def quality_counts(source: str) -> str:
     """
 
 
+def _line_dedup() -> str:
+    text = f"regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '{HIDDEN}', '', 'g'), '{BLOCK}', chr(10), 'g'), '<[^>]*>', '', 'g')"
+    for entity, char in ENTITIES.items():
+        text = f"replace({text}, '{entity}', '{char.replace("'", "''")}')"
+    blanks = " || ".join(f"chr({ord(c)})" for c in BLANKS)
+    return rf"""
+        WITH p AS (
+            SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+                   string_split({text}, chr(10)) AS raw
+            FROM pages
+        ), l AS (
+            SELECT page_id, host, place, trim(raw[place], {blanks}) AS line
+            FROM (SELECT page_id, host, raw, unnest(range(1, len(raw) + 1)) AS place FROM p)
+        ), b AS (
+            SELECT host, line
+            FROM (SELECT host, line, count(DISTINCT page_id) AS n FROM l WHERE line <> '' GROUP BY ALL)
+            JOIN (SELECT host, count(*) AS total FROM p GROUP BY host) USING (host)
+            WHERE n >= {LEAST_PAGES} AND n / total > {RATIO}
+        )
+        SELECT p.page_id, p.host, count(line) FILTER (line <> '') AS n_lines,
+               count(line) FILTER (line <> '' AND b_line IS NOT NULL) AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (line <> '' AND b_line IS NULL), '') AS kept_text
+        FROM p LEFT JOIN (SELECT l.*, b.line AS b_line FROM l LEFT JOIN b ON b.host = l.host AND b.line = l.line) l USING (page_id)
+        GROUP BY p.page_id, p.host
+    """
+
+
 QUALITY_KEPT = _quality_bounds()
 
 SQL: dict[str, str] = {
@@ -52,6 +80,7 @@ SQL: dict[str, str] = {
                n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {QUALITY_KEPT} AS kept
         FROM ({quality_counts("d")})
     """,
+    "op6_line_dedup": _line_dedup(),
     "op4_chat_formatting": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

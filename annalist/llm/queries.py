@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import chat, exact_dedup, jaccard_join, language_id, packing, quality_rules, sharding, toxicity
+from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, quality_rules, sharding, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -100,3 +100,15 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.without_boilerplate(table(spark, folder, "pages"))
+    return found.select(
+        F.col("row.page_id").alias("page_id"),
+        "host",
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.array_join("kept", "\n").alias("kept_text"),
+    )
