@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, quality_rules, sharding, toxicity
+from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, piece_sampling, quality_rules, sharding, toxicity
 from annalist.llm.frames import table
 from annalist.llm.oracles import SQL
 
@@ -112,3 +112,18 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("kept_text"),
     )
+
+
+@query
+def op2_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_sampling.encoded(table(spark, folder, "documents").select("doc_id", "text"), path)
+    found = piece_sampling.decoded(encoded, F.col("ids"), path)
+    text = F.coalesce("row.row.text", F.lit(""))
+    return found.select(
+        F.col("row.row.doc_id").alias("doc_id"),
+        F.size("row.ids").cast("long").alias("n_pieces"),
+        F.xxhash64("row.ids").alias("ids_hash"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("text") == text).alias("lossless"),
+    )
