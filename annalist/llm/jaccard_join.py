@@ -5,7 +5,9 @@ tokens whose seeded hash is below ``picks / size``; similar sets pick common
 tokens, and sets that share a pick meet in its bucket. A bucket too large to
 compare is split again by fresh picks, level by level, so unrelated texts that
 share one frequent passage part; a bucket whose members stay together whatever
-is picked is a group of near copies and is compared in blocks. Small buckets are
+is picked is a group of near copies and is compared in blocks. What is large
+after all levels is cut by set size, as similar sets are of similar size, and
+compared in blocks. Small buckets are
 brute-forced, and independent runs repeat until a pair at the threshold is met
 with the target probability. Every pair that meets is verified exactly.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,9 +40,11 @@ THRESHOLD = 0.8
 PICKS = (4.0, 5.0, 5.0)
 TARGET_RECALL = 0.9999
 #: Most sets compared with each other in one piece; larger buckets are split or cut into blocks.
-BUCKET = 500
+BUCKET = 600
 #: A bucket whose large children hold this many times its members does not split: near copies.
 DENSE = 1.5
+#: Most members of a bucket that a task splits by itself (some 300 bytes each).
+IN_TASK = 100_000
 BINS = 128
 
 
@@ -111,44 +116,98 @@ def _features(repeats: int):
     return run
 
 
-def _split(rows: DataFrame, name: str) -> DataFrame:
-    """Members of buckets that have company: ``bucket, parent, run, k, members``."""
+def _met(rows: DataFrame) -> DataFrame:
+    """Members of buckets that have company: ``bucket, run, k, members``."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    return stage(rows.join(sizes, "bucket"), name)
+    return stage(rows.join(sizes, "bucket"), "buckets")
 
 
-def _leaves(classes: DataFrame, bucket: int) -> DataFrame:
+def _window(threshold: float) -> float:
+    """Width, in logarithms, of windows such that similar sizes lie in the same or in neighbouring ones."""
+    return -math.log(threshold) * (1 + 1e-6)
+
+
+def _split(bucket: int, threshold: float):
+    """Split one bucket, level by level, into buckets that are compared: ``leaf, k, members``."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, sizes, picks = pdf["k"].to_numpy(), pdf["size"].to_numpy(), pdf["deeper"].tolist()
+        found: list[tuple[int, np.ndarray]] = []
+        todo = [(int(pdf["bucket"].iloc[0]) % 2**64, np.arange(len(pdf)), 0)]
+        while todo:
+            name, members, level = todo.pop()
+            if len(members) <= bucket:
+                found.append((name, members))
+                continue
+            if level == len(picks[0]):
+                # Each set is in two neighbouring windows, so sets of similar size share one.
+                windows = np.floor(np.log(sizes[members]) / _window(threshold)).astype(np.int64)
+                for window in range(int(windows.min()), int(windows.max()) + 2):
+                    own = members[(windows == window) | (windows == window - 1)]
+                    if len(own) > 1:
+                        found.append((_child(name, window), own))
+                continue
+            lists = [picks[i][level] for i in members]
+            owner = np.repeat(members, [len(x) for x in lists])
+            token = np.array([t for x in lists for t in x], dtype=np.int64)
+            order = np.argsort(token, kind="stable")
+            owner, token = owner[order], token[order]
+            edges = np.flatnonzero(np.diff(token) != 0) + 1
+            children = [(int(token[a]), owner[a:b]) for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(token)], strict=True) if b - a > 1]
+            if sum(len(m) for _, m in children if 2 * len(m) > len(members)) >= DENSE * len(members):
+                # Near copies: they stay together whatever is picked.
+                found.append((name, members))
+                continue
+            todo += [(_child(name, t), m, level + 1) for t, m in children]
+        leaves = np.repeat(np.array([name for name, _ in found], dtype=np.uint64).view(np.int64), [len(m) for _, m in found])
+        members = np.concatenate([m for _, m in found]) if found else np.zeros(0, np.int64)
+        counts = np.repeat(np.array([len(m) for _, m in found], dtype=np.int64), [len(m) for _, m in found])
+        return pd.DataFrame({"leaf": leaves, "k": keys[members], "members": counts})
+
+    return run
+
+
+def _child(name: int, token: int) -> int:
+    return int(mix(np.array([(name * 0x9E3779B97F4A7C15 + token) % 2**64], dtype=np.uint64))[0])
+
+
+def _leaves(classes: DataFrame, bucket: int, threshold: float, whole: int = IN_TASK) -> DataFrame:
     """``leaf, k, members``: each bucket that is compared, with its members.
 
-    Split level by level while a large bucket is left that splits at all.
+    Buckets of up to ``whole`` members are split inside a task; larger ones are
+    first split by a shuffle per level until they fit or no level is left.
     """
     picks = classes.select("k", F.posexplode(F.col("paths")[0]).alias("run", "tokens")).select("k", "run", F.explode("tokens").alias("token"))
-    level = _split(picks.select("k", "run", F.xxhash64("run", "token").alias("bucket"), F.lit(0).cast("long").alias("parent")), "buckets")
-    done = [level.where(F.col("members") <= bucket)]
-    large = level.where(F.col("members") > bucket)
+    level = _met(picks.select("k", "run", F.xxhash64("run", "token").alias("bucket")))
+    members, named = F.col("members"), [F.col("bucket").alias("leaf"), "k", "members"]
+    parts = [level.where(members <= bucket).select(*named)]
     for depth in range(1, len(PICKS)):
-        if large.isEmpty():
+        fits = level.where((members > bucket) & (members <= whole)).join(classes.select("k", "size", "paths"), "k")
+        deeper = F.transform(F.slice("paths", depth + 1, len(PICKS) - depth), lambda p: F.get(p, F.col("run")))
+        split = fits.select("bucket", "k", "size", deeper.alias("deeper")).groupBy("bucket")
+        parts.append(split.applyInPandas(_split(bucket, threshold), "leaf long, k binary, members long"))
+        level = level.where(members > whole)
+        if level.isEmpty():
             break
-        again = large.join(classes.select("k", F.col("paths")[depth].alias("tokens")), "k")
-        again = again.select("k", "run", F.col("bucket").alias("parent"), F.col("members").alias("of"), F.explode(F.get("tokens", F.col("run"))).alias("token"))
-        child = again.select("k", "run", "parent", "of", F.xxhash64("parent", "token").alias("bucket"))
-        child = _split(child, "buckets")
+        again = level.join(classes.select("k", F.col("paths")[depth].alias("tokens")), "k")
+        again = again.select("k", "run", F.col("bucket").alias("parent"), members.alias("of"), F.explode(F.get("tokens", F.col("run"))).alias("token"))
+        child = _met(again.select("k", "run", "parent", "of", F.xxhash64("parent", "token").alias("bucket")))
         # Members that meet again in large children, over the members there were.
-        kept = F.sum(F.when(F.col("members") * 2 > F.col("of"), 1).otherwise(0)) / F.first("of")
-        dense = child.groupBy("parent").agg(kept.alias("kept")).where(F.col("kept") >= DENSE).select("parent")
-        dense = stage(dense, "dense")
-        # Near copies: compared as they are, in blocks.
-        done.append(large.join(dense.withColumnRenamed("parent", "bucket"), "bucket", "left_semi"))
-        child = child.join(dense, "parent", "left_anti").drop("of")
-        done.append(child.where(F.col("members") <= bucket))
-        large = child.where(F.col("members") > bucket)
-    done.append(large)
-    leaves = done[0].select("bucket", "k", "members")
-    for part in done[1:]:
-        leaves = leaves.union(part.select("bucket", "k", "members"))
-    leaves = stage(leaves.withColumnRenamed("bucket", "leaf"), "leaves")
+        kept = F.sum(F.when(members * 2 > F.col("of"), 1).otherwise(0)) / F.first("of")
+        dense = stage(child.groupBy("parent").agg(kept.alias("kept")).where(F.col("kept") >= DENSE).select("parent"), "dense")
+        parts.append(level.join(dense.withColumnRenamed("parent", "bucket"), "bucket", "left_semi").select(*named))
+        level = child.join(dense, "parent", "left_anti")
+        parts.append(level.where(members <= bucket).select(*named))
+    else:
+        # Beyond all levels: what is still large is cut into windows of size.
+        first = F.floor(F.log("size") / F.lit(_window(threshold)))
+        rest = level.where(members > bucket).join(classes.select("k", "size"), "k")
+        rest = rest.select("k", "run", "bucket", F.explode(F.array(first, first + 1)).alias("window"))
+        parts.append(_met(rest.select("k", "run", F.xxhash64("bucket", "window").alias("bucket"))).select(*named))
+    leaves = stage(reduce(DataFrame.union, parts), "leaves")
     # Runs meet the same groups again: of buckets with equal members one is enough.
-    sums = leaves.groupBy("leaf").agg(F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("n"), F.sum(F.xxhash64(F.reverse(F.hex("k"))).cast("decimal(38,0)")).alias("other"))
+    sums = [F.sum(F.xxhash64(F.lit(i), "k").cast("decimal(38,0)")).alias(name) for i, name in enumerate(("sum", "other"))]
+    sums = leaves.groupBy("leaf").agg(*sums, F.count("*").alias("n"))
     chosen = sums.groupBy("sum", "n", "other").agg(F.min("leaf").alias("leaf")).select("leaf")
     return leaves.join(chosen, "leaf")
 
@@ -276,7 +335,9 @@ def _verified(threshold: float):
     return run
 
 
-def similar(documents: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bucket: int = BUCKET) -> DataFrame:
+def similar(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bucket: int = BUCKET, whole: int = IN_TASK
+) -> DataFrame:
     """One row per row of ``documents``: ``id, k, class_id, copy_id, n_links``.
 
     ``n_links`` counts the other rows whose shingle sets have a Jaccard
@@ -301,7 +362,7 @@ def similar(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
     classes = features.where("size > 0").groupBy("k", "size").agg(first.alias("f"), F.count("*").alias("copies"))
     classes = stage(classes.select("k", "size", "copies", F.col("f.id").alias("id"), F.col("f.sketch").alias("sketch"), F.col("f.paths").alias("paths")), "classes")
 
-    leaves = stage(_leaves(classes, bucket), "leaves")
+    leaves = stage(_leaves(classes, bucket, threshold, whole), "leaves")
     lists = stage(leaves.groupBy("k").agg(F.sort_array(F.collect_list("leaf")).alias("leaves")), "lists")
     known = classes.select("k", "size", "sketch").join(lists, "k")
     units = stage(_units(leaves.join(known, "k"), bucket), "units")
