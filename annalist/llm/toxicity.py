@@ -69,7 +69,7 @@ class Words:
         start, end = self.start[which], self.end[which]
         words, found = [which], [self.hashes.get(start, end)]
         for size in STEMS:
-            longer = end - start > size
+            longer = end - start >= size
             words.append(which[longer])
             found.append(self.hashes.get(start[longer], start[longer] + size) ^ _STEM)
         return np.concatenate(words), np.concatenate(found)
@@ -140,7 +140,7 @@ def _instances(features: np.ndarray):
     return run
 
 
-def _descend(label, sentences, document, bag, feature, size, steps=400, rate=0.1, ridge=2e-4):
+def _descend(label, sentences, document, bag, feature, size, steps=1200, rate=0.1, ridge=1e-5):
     """Weights and bias of least noisy-or loss (Adam on the whole sample).
 
     ``document`` holds the document of each active sentence; ``bag`` the active
@@ -162,7 +162,7 @@ def _descend(label, sentences, document, bag, feature, size, steps=400, rate=0.1
         gradient[:-1] += ridge * values[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
-        values -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
+        values -= rate * (1 - step / (steps + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
         values[:-1] = np.maximum(values[:-1], 0)
     return values[:-1], float(values[-1])
 

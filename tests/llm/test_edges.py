@@ -86,7 +86,8 @@ def test_recipes_share_chunks(spark):
 
 
 def test_toxicity(odd, none, spark):
-    bad = ["You are a vile skunk.", "Such vileness everywhere.", "What a vile thing."]
+    ends = ("", "ness", "st", "ment", "ous", "ty", "dom", "hood")
+    bad = [sentence.replace(" ", f" vile{end} ", 1) for end in ends for sentence in ("The garden is green.", "We walk to the river.", "Rain falls on the roof.")]
     good = ["The garden is green.", "We walk to the river.", "Rain falls on the roof.", "Bread is baked daily."]
     rng = random.Random(5)
     texts = [" ".join(rng.sample(good, 3) + ([rng.choice(bad)] if i % 4 == 0 else [])) + f" Number word{i}." for i in range(400)]
@@ -99,7 +100,7 @@ def test_toxicity(odd, none, spark):
         spans = [r.row.text[s.start : s.start + s.length] for s in r.offending]
         assert all("vile" in s for s in spans) and len(spans) == (r.row.doc_id % 4 == 0)
     # Known stems, unseen word.
-    unseen = spark.createDataFrame([(1, "Oh no.\nVilely of all! Indeed.")], "doc_id long, text string")
+    unseen = spark.createDataFrame([(1, "Oh no.\nThe vilegry of all! Indeed.")], "doc_id long, text string")
     assert toxicity.score(unseen, model).first().score >= 0.5
     scores = {r.row.text: r.score for r in toxicity.score(odd, model).collect()}
     assert len(scores) == len({t for _, t in TEXTS}) and scores[None] == scores[""] == 0
