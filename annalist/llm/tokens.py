@@ -6,10 +6,12 @@ distinct word goes through ``tokenizers`` once; BPE never crosses a word.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from annalist.llm.arrays import SpanHashes, distinct, joined_points
 
@@ -72,11 +74,24 @@ def word_spans(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return place[real], stop[real]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it prints, else the next from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {byte: chr(byte if byte in prints else next(others)) for byte in range(256)}
+
+
 class Encoder:
     """Ids by ``tokenizers``, with the ids of words seen before kept by hash (at most ``most`` words)."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         self.tokenizer = Tokenizer.from_file(path)
+        # The word model alone, without the cache that words seen once would only churn.
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.words = BPE(vocab=model["vocab"], merges=pairs, cache_capacity=0)
+        self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
         self._forget()
@@ -88,25 +103,12 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        # Words of a space and letters stand apart in one text too, which saves a call each.
-        joint = [i for i, w in enumerate(words) if w[0] == " " and w[1:].isalpha()]
-        sizes = np.zeros(len(words), dtype=np.int64)
-        parts = []
-        if joint:
-            whole = self.tokenizer.encode("".join([words[i] for i in joint]), add_special_tokens=False)
-            sizes[joint] = np.bincount(np.array(whole.word_ids, dtype=np.int64), minlength=len(joint))
-            parts.append(np.array(whole.ids, dtype=np.uint32))
-        taken = set(joint)
-        rest = [i for i in range(len(words)) if i not in taken]
-        for i, found in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-            parts.append(np.array(found.ids, dtype=np.uint32))
-            sizes[i] = len(parts[-1])
-        order = np.array([*joint, *rest], dtype=np.int64)
-        first = np.zeros(len(words), dtype=np.int64)
-        first[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
-        self.ids = np.concatenate([self.ids, *parts])
-        self.first = np.concatenate([self.first, first])
+        spelled = [w.encode().decode("latin-1").translate(self.letters) for w in words]
+        lists = [[token.id for token in self.words.tokenize(w)] for w in spelled]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special ones. ``texts`` should be a slice of bounded size."""
