@@ -278,7 +278,7 @@ def test_language_id(odd, none, spark):
     rows = [(i, " ".join(rng.choices(words[lang], k=20)), lang) for i, lang in enumerate(["aa", "bb"] * 100)]
     rows += [(1000, "null lang", None), (None, "null id", "aa"), (1001, None, "aa")]
     models = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    probe = [(1, "water in the house"), (2, "wasser mit haus"), (3, None), (4, "123 !?"), (5, "ж"), (6, "a"), (7, "the " * 50_000)]
+    probe = [(1, "water with the house thing the water house thing"), (2, "wasser mit haus das ding wasser haus mit"), (3, None), (4, "123 !?"), (5, "ж"), (6, "a"), (7, "the " * 50_000)]
     found = {r.row.doc_id: r for r in language_id.predicted(spark.createDataFrame(probe, "doc_id long, text string"), models).collect()}
     assert [found[i].lang_pred for i in (1, 2, 3, 4, 7)] == ["aa", "bb", "und", "und", "aa"]
     assert found[5].lang_pred in {"aa", "bb"} and found[5].rejected and not found[1].rejected
