@@ -14,21 +14,26 @@ from annalist.schemas import LIST_RECORD_FIELDS
 def canonicalise(listing: DataFrame, collected_on: str | Column) -> DataFrame:
     """Listed records to canonical documents.
 
-    ``reject_reason`` says why a record cannot be stored: no id, a day that does
-    not exist, or a type that is no number. ``listed_date`` is the date the list
+    ``reject_reason`` says why a record cannot be stored: a field that cannot be
+    read, no id, a day that does not exist, or a type that is no number.
+    ``raw_metadata`` is the record as it came, where the listing has its text. ``listed_date`` is the date the list
     gives, ``revision_date`` falls back to the document date, then to the day
     of collection.
     """
     day = F.lit(collected_on).cast("date") if isinstance(collected_on, str) else collected_on
     poddat, orgdat = F.col("poddat"), F.col("orgdat")
     org_ids = V.parse_ids(V.first_truthy(F.col("orgid"), F.col("org")))
+    unread = F.col("record_error") if "record_error" in listing.columns else F.lit(None).cast("string")
     reject = (
-        F.when(F.col("dokid").isNull(), "missing id")
+        F.when(unread.isNotNull(), unread)
+        .when(F.col("dokid").isNull(), "missing id")
         .when(V.is_impossible_day(poddat) | V.is_impossible_day(orgdat), "impossible date")
         .when(V.has_bad_id(F.col("types")), "bad type id")
     )
-    raw = [F.col(c) for c in LIST_RECORD_FIELDS if c in listing.columns]
-    carried = [c for c in listing.columns if c not in {*LIST_RECORD_FIELDS, "source"}]
+    raw = V.to_json_text(*[F.col(c) for c in LIST_RECORD_FIELDS if c in listing.columns])
+    if "record" in listing.columns:
+        raw = F.coalesce(F.col("record"), raw)
+    carried = [c for c in listing.columns if c not in {*LIST_RECORD_FIELDS, "source", "record", "record_error"}]
     return listing.select(
         "source",
         F.col("dokid").cast("string").alias("source_id"),
@@ -43,7 +48,7 @@ def canonicalise(listing: DataFrame, collected_on: str | Column) -> DataFrame:
         V.parse_day(poddat).alias("listed_revision"),
         F.coalesce(V.parse_day(poddat), V.parse_day(orgdat), day).alias("revision_date"),
         day.alias("collection_date"),
-        V.to_json_text(*raw).alias("raw_metadata"),
+        raw.alias("raw_metadata"),
         reject.alias("reject_reason"),
         *carried,
     )
@@ -124,16 +129,16 @@ def not_stored(documents: DataFrame, current: DataFrame) -> DataFrame:
     return documents.join(current.select("source", "source_id"), ["source", "source_id"], "left_anti")
 
 
+def with_stripped_text(documents: DataFrame) -> DataFrame:
+    """``text`` without outer blanks, null where none is left, and ``error`` "No text" there."""
+    return documents.withColumn("text", F.nullif(T.strip_text(F.col("text")), F.lit(""))).withColumn(
+        "error", F.when(F.col("text").isNull(), "No text")
+    )
+
+
 def attach_texts(documents: DataFrame, texts: DataFrame) -> DataFrame:
     """Left join the landed texts, stripped; ``error`` is "No text" where none is left."""
-    landed = texts.select("source", "source_id", F.col("text").alias("_text"))
-    stripped = T.strip_text(F.col("_text"))
-    return (
-        documents.join(landed, ["source", "source_id"], "left")
-        .withColumn("text", F.nullif(stripped, F.lit("")))
-        .withColumn("error", F.when(F.col("text").isNull(), "No text"))
-        .drop("_text")
-    )
+    return with_stripped_text(documents.join(texts.select("source", "source_id", "text"), ["source", "source_id"], "left"))
 
 
 def fetch_metrics(fetched: DataFrame, by: list[str] | None = None) -> DataFrame:

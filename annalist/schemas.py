@@ -10,9 +10,12 @@ LIST_RECORD = (
 )
 _LIST_PAIRS = [part.split() for part in LIST_RECORD.split(", ")]
 LIST_RECORD_FIELDS = [name for name, _ in _LIST_PAIRS]
-_LIST_STRUCT = ", ".join(f"{name}: {kind}" for name, kind in _LIST_PAIRS)
+#: Every field as it came: one mistyped value must not cost its page, nor its record.
+LIST_RECORD_TEXT = ", ".join(f"{name} STRING" for name in LIST_RECORD_FIELDS)
+LIST_RECORD_KINDS = dict(_LIST_PAIRS)
 
-LIST_PAGE = f"cnt INT, `from` INT, max INT, list ARRAY<STRUCT<{_LIST_STRUCT}>>, _corrupt_record STRING"
+# Records stay JSON text until each is parsed by itself.
+LIST_PAGE = "max STRING, list ARRAY<STRING>, _corrupt_record STRING"
 
 MANIFEST = (
     "id STRING, type STRING, title STRING, language STRING, path STRING, name STRING, format STRING, "

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annalist.functions.text import decode_cp1251, strip_text
-from annalist.schemas import LIST_PAGE, MANIFEST
+from annalist.functions.values import parse_iso_day
+from annalist.schemas import LIST_PAGE, LIST_RECORD_FIELDS, LIST_RECORD_KINDS, LIST_RECORD_TEXT, MANIFEST
 
-# Fixed value: pages read per listing.
-MAX_PAGES = 100
+# Fields that hold a day as a number such as 20260130.
+DAY_FIELDS = ("orgdat", "poddat", "pridat")
+# Numbers a record cannot be stored without being right.
+CHECKED_NUMBERS = ("dokid", "status")
 
 
 def file_stem(path: Column) -> Column:
@@ -73,7 +76,12 @@ def missing_dictionaries(manifest: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """List pages, one row each; the number comes from ``page{N}.json``."""
+    """List pages, one row each: file, page, announced, list, broken.
+
+    The number comes from ``page{N}.json``. ``list`` holds the records as the
+    JSON text they came in; only a file that is no JSON, or whose list is none,
+    is broken.
+    """
     rows = (
         spark.read.schema(LIST_PAGE)
         .option("multiLine", True)
@@ -83,45 +91,91 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
     number = F.regexp_extract("_metadata.file_path", r".*page=?([0-9]+)[./][^/]*$", 1).try_cast("int")
     return rows.select(
-        number.alias("page"), F.col("max").alias("announced"), "list", F.col("_corrupt_record").isNotNull().alias("broken")
+        F.col("_metadata.file_path").alias("file"),
+        number.alias("page"),
+        F.col("max").try_cast("int").alias("announced"),
+        "list",
+        F.col("_corrupt_record").isNotNull().alias("broken"),
     )
 
 
-def complete_pages(pages: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
-    """Numbers of the pages that count: source, page.
-
-    ``pages`` has source, page, records (their number), announced and broken. A
-    listing ends before the first page that is empty, broken or missing, and
-    after the page at which the records so far reach its own announced total.
-    Rows here are pages, not records, so the ordered pass is over few rows.
-    """
+def _counted_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
+    """Pages that count, with the number of records ``before`` each in its source."""
     if max_pages is not None:
         pages = pages.filter(F.col("page") <= max_pages)
     ordered = Window.partitionBy("source").orderBy("page")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    bad = F.col("broken") | (F.coalesce("records", F.lit(0)) == 0) | (F.row_number().over(ordered) != F.col("page"))
-    full = F.sum(F.coalesce("records", F.lit(0))).over(so_far) >= F.col("announced")
+    records = F.coalesce("records", F.lit(0)).cast("long")
+    bad = F.col("broken") | (records == 0) | (F.row_number().over(ordered) != F.col("page"))
+    full = F.sum(records).over(so_far) >= F.col("announced")
     return (
-        pages.withColumn("_bad", bad)
+        pages.withColumn("before", F.coalesce(F.sum(records).over(before), F.lit(0)))
+        .withColumn("_bad", bad)
         .withColumn("_ends", F.col("_bad") | F.coalesce(full, F.lit(False)))
         .withColumn("_ended", F.coalesce(F.max("_ends").over(before), F.lit(False)))
         .filter(~F.col("_ended") & ~F.col("_bad"))
-        .select("source", "page")
+        .select("source", "page", "before")
     )
 
 
-def listed_records(pages: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
-    """Records of the complete pages with source and seq (page, then position)."""
+def complete_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Numbers of the pages that count: source, page.
+
+    ``pages`` has source, page, records (their number), announced and broken. A
+    listing ends before the first page that is empty, broken or missing, and
+    after the page at which the records so far reach its own announced total.
+    Without ``max_pages`` no page is left out for its number. Rows here are
+    pages, not records, so the ordered pass is over few rows.
+    """
+    return _counted_pages(pages, max_pages).select("source", "page")
+
+
+def pages_left_out(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Pages that do not count and why: source, page, records, reason."""
+    kept = complete_pages(pages, max_pages)
+    over = F.lit(False) if max_pages is None else F.col("page") > max_pages
+    reason = F.when(over, "over the page limit").when(F.col("broken"), "unreadable").otherwise("after the end")
+    return pages.join(kept, ["source", "page"], "left_anti").select("source", "page", "records", reason.alias("reason"))
+
+
+def _day_number(text: Column) -> Column:
+    """A day as a number, from digits or from an ISO date; other text gives null."""
+    day = parse_iso_day(text)
+    return F.coalesce(text.try_cast("bigint"), F.date_format(day, "yyyyMMdd").cast("bigint"))
+
+
+def typed_records(records: DataFrame) -> DataFrame:
+    """Parse ``record``, JSON text, field by field; the text itself stays as it came.
+
+    A number may come as text and a day as an ISO date. ``record_error`` says
+    what cannot be read: the whole record, its id or its status. Other odd
+    fields are null, as unreadable days are.
+    """
+    parsed = records.withColumn("_fields", F.from_json("record", LIST_RECORD_TEXT))
+    fields = []
+    for name in LIST_RECORD_FIELDS:
+        value = F.col(f"_fields.{name}")
+        kind = LIST_RECORD_KINDS[name]
+        typed = _day_number(value) if name in DAY_FIELDS else value.try_cast(kind)
+        fields.append(typed.alias(name))
+    error = F.when(~F.coalesce(F.ltrim("record").startswith("{"), F.lit(False)) | F.col("_fields").isNull(), "unreadable record")
+    for name in CHECKED_NUMBERS:
+        value = F.col(f"_fields.{name}")
+        error = error.when(value.isNotNull() & value.try_cast(LIST_RECORD_KINDS[name]).isNull(), f"bad number in {name}")
+    kept = [c for c in records.columns if c != "record"]
+    return parsed.select(*kept, *fields, "record", error.alias("record_error"))
+
+
+def listed_records(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Records of the complete pages: source, fields, record, record_error, seq.
+
+    ``seq`` counts the records of a source in list order, from 0.
+    """
     sizes = pages.select("source", "page", F.size("list").alias("records"), "announced", "broken")
-    keep = complete_pages(sizes, max_pages)
-    return (
-        pages.join(keep, ["source", "page"], "left_semi")
-        .select("source", "page", F.posexplode("list").alias("_at", "_record"))
-        .select(
-            "source", "_record.*", (F.shiftleft(F.col("page").cast("long"), 32) + F.col("_at")).alias("seq")
-        )
-    )
+    kept = pages.join(_counted_pages(sizes, max_pages), ["source", "page"])
+    records = kept.select("source", "before", F.posexplode("list").alias("_at", "record"))
+    return typed_records(records.select("source", "record", (F.col("before") + F.col("_at")).alias("seq")))
 
 
 # --- texts and stored objects ----------------------------------------------

@@ -62,7 +62,7 @@ class LandingZone(SourceReader):
 
     def listing(self, spark: SparkSession) -> DataFrame:
         pages = landing.read_pages(spark, f"{self.config['path']}/list").withColumn("source", F.lit(self.name))
-        return landing.listed_records(pages, self.config.get("max_pages", landing.MAX_PAGES))
+        return landing.listed_records(pages, self.config.get("max_pages"))
 
     def texts(self, spark: SparkSession) -> DataFrame:
         return landing.read_texts(spark, f"{self.config['path']}/texts").withColumn("source", F.lit(self.name))

@@ -172,3 +172,47 @@ def export_csv(t: Tables) -> DataFrame:
     rows = feed.dictionary_2(t).filter("is_current").select("source", "dict_type", "entry_id", "entry_name")
     artefacts.export_csv(rows, path)
     return t.spark.read.option("header", True).csv(path)
+
+
+# --- landed list pages ------------------------------------------------------
+
+# Pages of 100 ids each. Days come as numbers, as digits in a text and as ISO
+# dates, statuses as numbers or text, one in 53 unreadable; every record has a
+# field the schema does not know, and page 2 of one source is cut off.
+_LANDED = """
+SELECT source, cast(floor(doc_id / 100) + 1 AS INT) AS page, doc_id, source = 'src3' AND floor(doc_id / 100) = 1 AS cut,
+  concat('{{"dokid": ', doc_id, ', "nreg": "', doc_id, '-', lang, '", "nazva": "T", "extra": {{"n":', n_chars, '}}, "status": ',
+    CASE WHEN doc_id % 53 = 0 THEN '"odd"' WHEN doc_id % 2 = 0 THEN concat('"', doc_id % 8, '"') ELSE concat('', doc_id % 8) END,
+    ', "poddat": ', CASE WHEN doc_id % 5 = 0 THEN '"2024-01-02"' WHEN doc_id % 5 = 1 THEN '"20240103"'
+      WHEN doc_id % 5 = 2 THEN '"soon"' WHEN doc_id % 5 = 3 THEN 'null' ELSE '20240104' END, '}}') AS record
+FROM {documents}
+"""
+
+
+@query(
+    "list_reader",
+    f"""
+    WITH landed AS ({_LANDED.format(documents='documents')})
+    SELECT source, doc_id AS dokid, doc_id || '-' || lang AS nreg, record, n_chars AS extra,
+      CASE WHEN doc_id % 53 <> 0 THEN cast(doc_id % 8 AS INTEGER) END AS status,
+      CASE WHEN doc_id % 5 = 0 THEN 20240102 WHEN doc_id % 5 = 1 THEN 20240103 WHEN doc_id % 5 = 4 THEN 20240104 END::BIGINT AS poddat,
+      CASE WHEN doc_id % 53 = 0 THEN 'bad number in status' END AS record_error,
+      row_number() OVER (PARTITION BY source ORDER BY page, doc_id) - 1 AS seq
+    FROM landed JOIN documents USING (doc_id, source)
+    WHERE source <> 'src3' OR page < 2
+    """,
+)
+def list_reader(t: Tables) -> DataFrame:
+    """Pages written to the landing zone and read back, record by record."""
+    records = t.spark.sql(_LANDED, documents=t.documents)
+    lists = records.groupBy("source", "page").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "record"))), lambda r: r["record"]), ",").alias("list"),
+        F.bool_or("cut").alias("cut"),
+    )
+    whole = F.concat(F.lit('{"max": 1000000000, "list": ['), "list", F.when(F.col("cut"), '], "').otherwise("]}"))
+    path = work_dir(t.spark, "pages")
+    lists.select("source", "page", whole.alias("value")).write.partitionBy("source", "page").text(path)
+    pages = landing.read_pages(t.spark, path).withColumn("source", F.regexp_extract("file", "source=([^/]+)/", 1))
+    read = landing.listed_records(pages)
+    extra = F.get_json_object("record", "$.extra.n").cast("long")
+    return read.select("source", "dokid", "nreg", "record", extra.alias("extra"), "status", "poddat", "record_error", "seq")

@@ -28,6 +28,30 @@ def stream_ingest(t: Tables) -> DataFrame:
     return table.read().select(*DOCUMENT_COLUMNS)
 
 
+_REJECTS = " UNION ALL ".join(
+    f"""SELECT source, source_id, coalesce(reject_reason, 'No text') AS reason, reject_reason IS NULL AS stored
+    FROM canon{n} WHERE reject_reason IS NOT NULL OR text IS NULL"""
+    for n in (1, 2)
+)
+
+
+@query("stream_rejects", with_feed(f"SELECT * FROM ({_REJECTS}) AS r"))
+def stream_rejects(t: Tables) -> DataFrame:
+    """What both lists could not store, or store without a text."""
+    landing, checkpoint = work_dir(t.spark, "landing"), work_dir(t.spark, "stream")
+    table = HistoryTable(t.spark, work_dir(t.spark, "documents"), schemas.DOCUMENTS)
+    rejects = work_dir(t.spark, "rejects")
+    for number, time in ((1, TIME_1), (2, TIME_2)):
+        # Every seventh text is padded, which changes nothing; every ninth record has no landing time.
+        padded = F.when(F.col("dokid") % 7 == 0, F.concat(F.lit(" \n"), "text", F.lit("\t"))).otherwise(F.col("text"))
+        at = F.when(F.col("dokid") % 9 != 0, F.lit(time)).cast("timestamp_ntz")
+        landed = feed.listing(t, number).withColumn("text", padded).withColumn("landed_at", at)
+        landed.write.mode("append").parquet(landing)
+        stream = t.spark.readStream.schema(landed.schema).parquet(landing)
+        ingest.ingest_documents(stream, table, checkpoint, rejects=rejects).awaitTermination()
+    return ingest.read_rejects(t.spark, rejects).select("source", "source_id", "reason", "stored")
+
+
 _WINDOWS = """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
   event_type, count(*) AS rows FROM events GROUP BY ALL

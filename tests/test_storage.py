@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annalist import schemas
-from annalist.operators import history, retention
+from annalist.operators import history, intake, retention
 from annalist.plans.daily import Store, clean_temp, run_day
 from annalist.sinks import artefacts, files, layout
 from annalist.sinks.tables import HistoryTable
@@ -51,11 +51,33 @@ def test_pages(spark, tmp_path, sizes, announced, expected):
     assert sorted(r["page"] for r in landing.complete_pages(sizes).collect()) == expected
     records = landing.listed_records(pages)
     assert records.select("page").distinct().count() == len(expected) if "page" in records.columns else True
-    seqs = [r["seq"] >> 32 for r in records.collect()]
-    assert sorted(set(seqs)) == expected
+    seqs = sorted(r["seq"] for r in records.collect())
+    assert seqs == list(range(len(seqs)))
     assert not expected or sorted(set(r["types"] for r in records.collect())) == ["95"]
 
 
+def test_odd_records_stay_in_their_page(spark, tmp_path):
+    """A mistyped value costs its field, an unreadable one its record, never the page."""
+    rows = [record(1, poddat="2024-01-02", more={"a": [1]}), record(2, status="x"), record(3, types="6|168", num="q"), "no object", record("n4"), record(5, status="3", poddat="20240105")]
+    put_file(tmp_path / "page1.json", page(rows, "6"))
+    pages = landing.read_pages(spark, str(tmp_path)).withColumn("source", F.lit("s"))
+    got = landing.listed_records(pages).orderBy("seq").collect()
+    assert [r["record_error"] for r in got] == [None, "bad number in status", None, "unreadable record", "bad number in dokid", None]
+    assert [r["seq"] for r in got] == list(range(6))
+    assert (got[0]["poddat"], got[5]["poddat"], got[5]["status"], got[2]["types"]) == (20240102, 20240105, 3, "6|168")
+    assert json.loads(got[0]["record"]) == rows[0]
+    canonical = intake.canonicalise(landing.listed_records(pages), "2026-02-02").orderBy("seq").collect()
+    assert json.loads(canonical[0]["raw_metadata"]) == rows[0] and canonical[0]["revision_date"] == dt.date(2024, 1, 2)
+    assert [r["reject_reason"] for r in canonical if r["reject_reason"]] == ["bad number in status", "unreadable record", "bad number in dokid"]
+
+
+def test_pages_left_out(spark):
+    rows = [("s", 1, 2, 9, False), ("s", 2, 2, 9, False), ("s", 3, None, None, True), ("s", 4, 2, 9, False)]
+    pages = spark.createDataFrame(rows, "source STRING, page INT, records INT, announced INT, broken BOOLEAN")
+    assert {r["page"]: r["reason"] for r in landing.pages_left_out(pages).collect()} == {3: "unreadable", 4: "after the end"}
+    assert {r["page"]: r["reason"] for r in landing.pages_left_out(pages, 1).collect()} == {2: "over the page limit", 3: "over the page limit", 4: "over the page limit"}
+
+
 def test_max_pages(spark):
     pages = spark.createDataFrame([("s", p, 1, 99, False) for p in range(1, 6)], "source STRING, page INT, records INT, announced INT, broken BOOLEAN")
     assert landing.complete_pages(pages, max_pages=3).count() == 3
