@@ -41,12 +41,22 @@ def html_lines(html: Column) -> Column:
     return F.array_remove(F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS))), "")
 
 
+def _digests(lines: Column) -> Column:
+    """128 bits of each distinct line."""
+    return F.transform(F.array_distinct(lines), _digest)
+
+
+def _digest(line: Column) -> Column:
+    return F.unhex(F.md5(line.cast("binary")))
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host, line`` (a digest) ``, pages, share`` of the lines that are boilerplate of their host.
 
-    ``pages`` has ``host`` and ``lines``; every row counts as a page.
+    ``pages`` has ``host`` and ``digests``, those of its distinct lines; every
+    row counts as a page.
     """
-    each = pages.select("host", F.explode(F.transform(F.array_distinct("lines"), lambda x: F.unhex(F.md5(x.cast("binary"))))).alias("line"))
+    each = pages.select("host", F.explode("digests").alias("line"))
     often = each.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     share = F.col("pages") / F.col("total")
@@ -61,13 +71,17 @@ def without_boilerplate(
     ``lines`` are the page's lines and ``kept`` those that are no boilerplate of
     its host, in order, repeats included. A page without lines keeps none; pages
     without a host form one site. Ids may be null or repeated.
+
+    Pages are parsed twice, which costs less than carrying their lines: counting
+    works on digests, and a page moves once, as it came, to meet its drops.
     """
     key = F.concat_ws("\n", F.coalesce(F.col(id_column).cast("string"), F.lit("null id")), host_of(F.col(url)))
-    rows = stage(pages.select(F.struct("*").alias("row"), key.alias("key"), host_of(F.col(url)).alias("host"), html_lines(F.col(html)).alias("lines")), "page-lines")
-    found = boilerplate(rows, ratio, least_pages)
-    each = rows.select("key", "host", F.explode(F.transform(F.array_distinct("lines"), lambda x: F.unhex(F.md5(x.cast("binary"))))).alias("line"))
+    digests = stage(pages.select(key.alias("key"), host_of(F.col(url)).alias("host"), _digests(html_lines(F.col(html))).alias("digests")), "page-lines")
+    found = boilerplate(digests, ratio, least_pages)
+    each = digests.select("key", "host", F.explode("digests").alias("line"))
     # Only lines to drop come back; a list is no longer than its page.
     drops = each.join(found.select("host", "line"), ["host", "line"]).groupBy("key").agg(F.collect_set("line").alias("drops"))
-    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("drops"), F.unhex(F.md5(x.cast("binary")))))
-    joined = rows.join(drops, "key", "left")
-    return joined.select("row", "host", "lines", F.when(F.col("drops").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
+    rows = pages.select(F.struct("*").alias("row"), key.alias("key")).join(drops, "key", "left")
+    parsed = rows.select("row", host_of(F.col("row")[url]).alias("host"), html_lines(F.col("row")[html]).alias("lines"), "drops")
+    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("drops"), _digest(x)))
+    return parsed.select("row", "host", "lines", F.when(F.col("drops").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
