@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import history_queries, report_queries, storage_queries, stream_queries, text_queries
+from checks import curation_queries, history_queries, report_queries, storage_queries, stream_queries, text_queries
 from checks.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "history_queries", "report_queries", "storage_queries", "stream_queries", "text_queries"]
+__all__ = ["QUERIES", "SQL", "curation_queries", "history_queries", "report_queries", "storage_queries", "stream_queries", "text_queries"]

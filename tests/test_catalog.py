@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from checks import history_queries, report_queries, storage_queries, stream_queries, text_queries
+from checks import curation_queries, history_queries, report_queries, storage_queries, stream_queries, text_queries
 from checks.catalog import QUERIES, SQL
 from checks.compare import compare, database
 
@@ -56,5 +56,5 @@ def test_scan_reads_needed_columns(spark):
 
 def test_modules_are_registered():
     assert {build.args[0].__module__ for build in QUERIES.values()} == {
-        m.__name__ for m in (history_queries, report_queries, storage_queries, stream_queries, text_queries)
+        m.__name__ for m in (curation_queries, history_queries, report_queries, storage_queries, stream_queries, text_queries)
     }
