@@ -83,10 +83,10 @@ def byte_texts(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
         yield start, stop, [v or b"" for v in binary.slice(start, stop - start).to_pylist()]
 
 
-def string_texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+def string_texts(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, list[str]]]:
     """Slices of a text column as strings; null counts as empty."""
     sizes = np.array(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
-    for start, stop in slices(sizes):
+    for start, stop in slices(sizes, limit):
         yield start, stop, [v or "" for v in column.slice(start, stop - start).to_pylist()]
 
 

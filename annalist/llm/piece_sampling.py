@@ -8,8 +8,8 @@ pieces' weights. The draws are hashes of the row's key and the place in the
 text, so a row's segmentation is the same wherever and whenever it is made.
 
 No piece crosses the start of a run of spaces, so the lattice falls apart into
-segments; a segment that occurs often is filtered once per slice and sampled for
-each occurrence, all of them together, step by step, on arrays.
+segments; a segment seen before is not filtered again, and all occurrences of a
+slice of texts are sampled together, piece by piece, on arrays.
 """
 
 from __future__ import annotations
@@ -101,6 +101,8 @@ class Vocabulary:
 
 
 _vocabularies: dict[tuple[str, float], Vocabulary] = {}
+#: Texts worked on at once, in bytes.
+_SLICE = 1 << 19
 
 
 def vocabulary(path: str, alpha: float) -> Vocabulary:
@@ -110,51 +112,89 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
     return _vocabularies[path, alpha]
 
 
-class Lattice:
-    """Filtered lattices of segments: for each place the pieces that end there, with cumulative shares."""
-
-    def __init__(self, words: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
-        end = np.cumsum(sizes)
-        start = end - sizes
-        source, length, weight, ids = words.edges(codes, start, end)
-        segment = np.repeat(np.arange(len(sizes)), sizes)[source]
-        # Each segment has a node before each character and one behind the last.
-        source_node = source + segment
-        target_node = source_node + length
-        step = source - start[segment] + length
-        nodes = len(codes) + len(sizes)
-        order = np.argsort(step * nodes + target_node, kind="stable")
-        self.source, self.length, self.ids, self.place = source_node[order], length[order], ids[order], source[order]
-        weight, target, step = weight[order], target_node[order], step[order]
-        reach = np.full(nodes, -np.inf)
-        reach[start + np.arange(len(sizes))] = 0.0
-        first = np.flatnonzero(np.diff(target, prepend=-1) != 0)
-        total = np.empty(len(target))
-        bounds = np.searchsorted(step[first], np.arange(1, (step[-1] if len(step) else 0) + 2))
-        last = np.append(first, len(target))
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if a == b:
-                continue
-            lo, hi = last[a], last[b]
-            heads = first[a:b] - lo
-            ways = reach[self.source[lo:hi]] + weight[lo:hi]
-            counts = np.diff(np.append(heads, hi - lo))
-            top = np.maximum.reduceat(ways, heads)
-            shares = np.exp(ways - np.repeat(top, counts))
-            sums = np.add.reduceat(shares, heads)
-            reach[target[first[a:b]]] = top + np.log(sums)
-            total[lo:hi] = shares / np.repeat(sums, counts)
-        # Node k's shares fill the unit interval that starts at k.
-        self.rank = np.full(nodes, -1, dtype=np.int64)
-        self.rank[target[first]] = np.arange(len(first))
-        cumulated = np.cumsum(total)
-        counts = np.diff(last)
-        base = np.repeat(cumulated[first] - total[first], counts)
-        row = np.repeat(np.arange(len(first)), counts)
-        self.bounds = np.minimum(cumulated - base, 1.0) + row
-        self.bounds[last[1:] - 1] = np.arange(1, len(first) + 1)
-        self.first_node = start + np.arange(len(sizes))
-        self.last_node = self.first_node + sizes
+def _filtered(words: Vocabulary, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Lattices of segments that lie in ``codes`` one after the other.
+
+    A segment has a node before each character and one behind the last. Returns
+    the first edge of each node, and of each edge, which stand together by the
+    node they reach: the cumulative share, the id and the number of characters.
+    """
+    end = np.cumsum(sizes)
+    start = end - sizes
+    source, length, weight, ids = words.edges(codes, start, end)
+    segment = np.repeat(np.arange(len(sizes)), sizes)[source]
+    target, step = source + segment + length, source - start[segment] + length
+    nodes = len(codes) + len(sizes)
+    order = np.argsort(step * nodes + target, kind="stable")
+    target, step, length, weight, ids = target[order], step[order], length[order], weight[order], ids[order]
+    source = target - length
+    reach = np.full(nodes, -np.inf)
+    reach[start + np.arange(len(sizes))] = 0.0
+    first = np.flatnonzero(np.diff(target, prepend=-1) != 0)
+    last = np.append(first, len(target))
+    shares = np.empty(len(target))
+    bounds = np.searchsorted(step[first], np.arange(1, (step[-1] if len(step) else 0) + 2))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        # All segments at once, one more character each time.
+        lo, hi = last[a], last[b]
+        if lo == hi:
+            continue
+        heads = first[a:b] - lo
+        counts = np.diff(np.append(heads, hi - lo))
+        ways = reach[source[lo:hi]] + weight[lo:hi]
+        top = np.maximum.reduceat(ways, heads)
+        parts = np.exp(ways - np.repeat(top, counts))
+        sums = np.add.reduceat(parts, heads)
+        reach[target[first[a:b]]] = top + np.log(sums)
+        shares[lo:hi] = parts / np.repeat(sums, counts)
+    cumulated = np.cumsum(shares)
+    cumulated -= np.repeat(cumulated[first] - shares[first], np.diff(last))
+    cumulated[last[1:] - 1] = 1.0
+    edge = np.zeros(nodes, dtype=np.int64)
+    edge[target[first]] = first
+    return edge, cumulated.astype(np.float32), ids, length.astype(np.uint8)
+
+
+class Lattices:
+    """Filtered lattices of segments seen before, by hash, of at most ``most`` segments and characters of some ten each."""
+
+    def __init__(self, words: Vocabulary, most: int = 150_000):
+        self.words, self.most = words, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.base = np.zeros(0, np.int64)
+        self.edge = np.zeros(0, np.int64)
+        self.share, self.ids, self.length = np.zeros(0, np.float32), np.zeros(0, np.int32), np.zeros(0, np.uint8)
+
+    def get(self, hashes: np.ndarray, codes: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The first node of each segment; segments not yet known are filtered now."""
+        if len(self.slots) + len(hashes) > self.most or len(self.edge) > 12 * self.most:
+            self._forget()
+        slots = [self.slots.get(h, -1) for h in hashes.tolist()]
+        new = np.array([i for i, slot in enumerate(slots) if slot < 0], dtype=np.int64)
+        if len(new):
+            own = sizes[new]
+            inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            edge, share, ids, length = _filtered(self.words, codes[np.repeat(start[new], own) + inside], own)
+            known = len(self.base)
+            self.base = np.concatenate([self.base, len(self.edge) + np.cumsum(own + 1) - own - 1])
+            self.edge = np.concatenate([self.edge, edge + len(self.share)])
+            self.share = np.concatenate([self.share, share])
+            self.ids, self.length = np.concatenate([self.ids, ids]), np.concatenate([self.length, length])
+            for place, (i, key) in enumerate(zip(new.tolist(), hashes[new].tolist(), strict=True)):
+                slots[i] = self.slots[key] = known + place
+        return self.base[np.array(slots, dtype=np.int64)]
+
+    def draw(self, node: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """The edge into each node whose share of the unit interval holds the draw."""
+        edge = self.edge[node]
+        open_ = np.flatnonzero(self.share[edge] <= draw)
+        while len(open_):
+            edge[open_] += 1
+            open_ = open_[self.share[edge[open_]] <= draw[open_]]
+        return edge
 
 
 def _segments(words: Vocabulary, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,31 +213,30 @@ def _segments(words: Vocabulary, codes: np.ndarray, starts: np.ndarray) -> tuple
     return start[real], end[real]
 
 
-def sample(words: Vocabulary, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
+def sample(lattices: Lattices, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
     """The ids of one segmentation of each text, drawn by its key (unsigned 64 bit)."""
+    words = lattices.words
     points, starts = joined_points(texts)
     codes = np.where(points == 32, SPACE, np.where(points == SPACE, _LITERAL, points)).astype(np.uint32)
     start, end = _segments(words, codes, starts)
     if not len(start):
         return [np.zeros(0, np.int32) for _ in texts]
-    _, example, which = distinct(SpanHashes(codes).get(start, end))
-    sizes = (end - start)[example]
-    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    lattice = Lattice(words, codes[np.repeat(start[example], sizes) + inside], sizes)
+    found, example, which = distinct(SpanHashes(codes).get(start, end))
+    base = lattices.get(found, codes, start[example], (end - start)[example])[which]
     owner = np.searchsorted(starts, start, side="right") - 1
-    chosen = np.full(len(codes), -1, dtype=np.int64)
-    node, begin, at = lattice.last_node[which], lattice.first_node[which], end.copy()
-    salt, offset = keys[owner], starts[owner]
-    while len(node):
-        # 53 bits of a hash of key and place: a uniform draw below 1.
-        draw = (mix(salt + (at - offset).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        edge = np.searchsorted(lattice.bounds, lattice.rank[node] + draw, side="right")
-        chosen[at - 1] = edge
-        node, at = lattice.source[edge], at - lattice.length[edge]
-        more = node > begin
-        node, begin, at, salt, offset = node[more], begin[more], at[more], salt[more], offset[more]
-    place = np.flatnonzero(chosen >= 0)
-    ids = lattice.ids[chosen[place]]
+    chosen = np.full(len(codes), -2, dtype=np.int32)
+    left, at, salt, offset = end - start, end, keys[owner], starts[owner]
+    while len(left):
+        # 24 bits of a hash of key and place: a uniform draw below 1.
+        draw = (mix(salt + (at - offset).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+        edge = lattices.draw(base + left, draw)
+        chosen[at - 1] = lattices.ids[edge]
+        length = lattices.length[edge]
+        left, at = left - length, at - length
+        more = left > 0
+        left, at, base, salt, offset = left[more], at[more], base[more], salt[more], offset[more]
+    place = np.flatnonzero(chosen > -2)
+    ids = chosen[place]
     odd = np.flatnonzero(ids < 0)
     if len(odd):
         spelled = [chr(p).encode("utf-8", "surrogatepass") for p in points[place[odd]].tolist()]
@@ -229,11 +268,11 @@ def encoded(documents: DataFrame, path: str, id_column: str = "doc_id", text: st
     schema = T.StructType([T.StructField("row", documents.schema), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        words = vocabulary(path, alpha)
+        lattices = Lattices(vocabulary(path, alpha))
         for batch in batches:
             rows, keys = batch.column(0), np.array(batch.column(1)).view(np.uint64)
-            for start, stop, texts in string_texts(rows.field(place)):
-                lists = sample(words, texts, keys[start:stop])
+            for start, stop, texts in string_texts(rows.field(place), _SLICE):
+                lists = sample(lattices, texts, keys[start:stop])
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.slice(start, stop - start), ids], names=["row", "ids"])

@@ -308,9 +308,9 @@ def test_language_models_sum_to_one():
 def test_samples_do_not_depend_on_neighbours():
     words = piece_sampling.vocabulary(PIECES, 1.0)
     texts, keys = ["ab cd", "the other text", ""], np.array([5, 6, 7], dtype=np.uint64)
-    joint = piece_sampling.sample(words, texts, keys)
+    joint = piece_sampling.sample(piece_sampling.Lattices(words), texts, keys)
     for i, t in enumerate(texts):
-        assert piece_sampling.sample(words, [t], keys[i : i + 1])[0].tolist() == joint[i].tolist()
+        assert piece_sampling.sample(piece_sampling.Lattices(words), [t], keys[i : i + 1])[0].tolist() == joint[i].tolist()
 
 
 def test_packing(odd, none):
@@ -366,7 +366,7 @@ def _coders(made=[]):  # noqa: B006
 def test_pieces_decode_to_any_text(texts, key):
     words = piece_sampling.vocabulary(PIECES, 0.3)
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    found = piece_sampling.sample(words, texts, np.full(len(texts), key, dtype=np.uint64))
+    found = piece_sampling.sample(piece_sampling.Lattices(words, most=20), texts, np.full(len(texts), key, dtype=np.uint64))
     assert piece_sampling.decode(words, np.concatenate(found), np.array([len(x) for x in found])) == texts
 
 
@@ -388,7 +388,7 @@ def test_samples_follow_the_weights():
     exact = {w: math.exp(sum(weight[i] for i in w)) for w in ways(" where")}
     total, draws = sum(exact.values()), 60_000
     keys = np.random.default_rng(1).integers(0, 2**63, draws, dtype=np.uint64)
-    found = Counter(tuple(x.tolist()) for x in piece_sampling.sample(words, [" where"] * draws, keys))
+    found = Counter(tuple(x.tolist()) for x in piece_sampling.sample(piece_sampling.Lattices(words), [" where"] * draws, keys))
     assert set(found) <= set(exact)
     assert all(abs(found[w] / draws - p / total) < 5 * math.sqrt(p / total / draws) + 1e-4 for w, p in exact.items())
 
