@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from annalist.functions.values import content_hash, version_key
 from annalist.operators.chains import HOT_KEY_ROWS, find_hot_keys, number_changes, with_next
 
+# Key columns of the history tables.
+KEY_COLUMNS = ("source", "source_id", "dict_type", "entry_id", "version_id")
+
 
 @dataclass(frozen=True)
 class HistorySpec:
@@ -202,13 +205,18 @@ def key_history(history: DataFrame, **key: str) -> DataFrame:
     """All versions of one key, newest first; without a key, of every key."""
     for name, value in key.items():
         history = history.filter(F.col(name) == value)
-    return history.orderBy(F.desc("valid_from"))
+    return _newest_first(history)
+
+
+def _newest_first(history: DataFrame) -> DataFrame:
+    """By start, then by key: versions of one run share their start, and a sort splits a tie only by more columns."""
+    return history.orderBy(F.desc("valid_from"), *[c for c in KEY_COLUMNS if c in history.columns])
 
 
 def recent_updates(history: DataFrame, as_of_time: Column | str, days: int = 7) -> DataFrame:
     """Versions that began within the last days, newest first."""
     since = at(as_of_time) - F.make_dt_interval(days=F.lit(days))
-    return history.filter(F.col("valid_from") > since).orderBy(F.desc("valid_from"))
+    return _newest_first(history.filter(F.col("valid_from") > since))
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

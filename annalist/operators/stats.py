@@ -75,24 +75,26 @@ def length_statistics(documents: DataFrame, column: str = "text_length", by: lis
         .groupBy(*by, F.col(column).cast("long").alias("_length"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    length = F.col("_length").cast("decimal(19,0)")
-    n = F.col("_n").cast("decimal(19,0)")
+    length = F.col("_length").cast("decimal(10,0)")
+    n = F.col("_n").cast("decimal(17,0)")
     sums = lengths.groupBy(*by).agg(
         F.sum("_n").alias("documents"),
         F.min("_length").alias("shortest"),
         F.max("_length").alias("longest"),
-        F.sum((length * n).cast("decimal(38,0)")).cast("double").alias("_s1"),
-        F.sum((length * length).cast("decimal(30,0)").cast("double") * F.col("_n")).alias("_s2"),
+        F.sum((length * n).cast("decimal(28,0)")).cast("decimal(19,0)").alias("_s1"),
+        F.sum((length * length * n).cast("decimal(28,0)")).cast("decimal(28,0)").alias("_s2"),
         F.percentile("_length", F.lit(0.5), F.col("_n")).alias("median"),
     )
     count = F.col("documents")
-    spread = (F.col("_s2") - F.col("_s1") * F.col("_s1") / count) / F.nullif(count - 1, F.lit(0))
+    # Exact to here: the difference of two large numbers is taken in decimals.
+    squares = (F.col("_s2") * count.cast("decimal(10,0)") - F.col("_s1") * F.col("_s1")).cast("double")
+    spread = squares / count / F.nullif(count - 1, F.lit(0))
     return sums.select(
         *by,
         "documents",
         "shortest",
         "longest",
-        F.round(F.col("_s1") / count, 2).alias("mean"),
+        F.round(F.col("_s1").cast("double") / count, 2).alias("mean"),
         "median",
         F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 2).alias("stddev"),
     )

@@ -12,7 +12,7 @@ def parse_markdown(rows: DataFrame, column: str = "markdown") -> DataFrame:
     """Add the header fields and the body of rendered documents.
 
     The first two lines of dashes delimit the header; each of its lines is
-    ``name: value``.
+    ``name: value``; of a name given twice the first counts.
     """
     whole = F.col(column)
     head = F.regexp_extract(whole, r"(?s)\A---\n(.*?)\n---\n", 1)
@@ -24,10 +24,10 @@ def parse_markdown(rows: DataFrame, column: str = "markdown") -> DataFrame:
         ),
     )
     body = F.regexp_extract(whole, r"(?s)\A---\n.*?\n---\n(.*)\z", 1)
-    fields = rows.withColumn("_fields", F.map_from_entries(pairs)).withColumn("_body", body)
+    fields = rows.withColumn("_fields", pairs).withColumn("_body", body)
 
     def field(name: str):
-        return F.try_element_at("_fields", F.lit(name))
+        return F.get(F.filter("_fields", lambda pair: pair["key"] == name), F.lit(0))["value"]
 
     ids = F.transform(F.split(F.regexp_replace(field("types"), r"[\[\]]", ""), ", "), lambda x: x.try_cast("int"))
     return fields.select(

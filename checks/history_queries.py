@@ -174,6 +174,12 @@ def source_history(t: Tables) -> DataFrame:
     return history.key_history(feed.history_2(t), source="src3").select(*_HISTORY.split(", "))
 
 
+@query("document_lookup", with_feed(f"SELECT {_HISTORY} FROM hist2 WHERE source = 'src3' AND source_id = '3'"))
+def document_lookup(t: Tables) -> DataFrame:
+    """All versions of one document."""
+    return history.key_history(feed.history_2(t), source="src3", source_id="3").select(*_HISTORY.split(", "))
+
+
 @query(
     "recent_updates",
     with_feed(

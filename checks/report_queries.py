@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from annalist import schemas
 from annalist.operators import doctypes, history, intake, ledger, quality, retention, snapshots, stats
+from annalist.session import work_dir
 from annalist.sinks import artefacts
+from annalist.sources import landing
 from checks import feed
 from checks.feed import DAY_1, DAY_2, TIME_1, TIME_2, with_feed
 from checks.history_queries import _TYPES_1, types_1
@@ -210,19 +212,17 @@ def table_counts(t: Tables) -> DataFrame:
 
 @query(
     "storage_footprint",
-    with_feed(
-        """SELECT 'by_revision' AS area, count(*) AS files, sum(strlen(text))::BIGINT AS bytes FROM canon1 WHERE reject_reason IS NULL AND text IS NOT NULL
-        UNION ALL SELECT 'by_collection', count(*), sum(strlen(text))::BIGINT FROM canon1 WHERE reject_reason IS NULL AND text IS NOT NULL"""
-    ),
+    """SELECT area, count(*) AS files, sum(strlen(text) + 1)::BIGINT AS bytes
+    FROM benchmark, (SELECT unnest(['by_revision', 'by_collection']) AS area) WHERE text IS NOT NULL GROUP BY area""",
 )
 def storage_footprint(t: Tables) -> DataFrame:
-    stored = feed.documents(t, 1).filter(F.col("text").isNotNull())
-    from annalist.functions.paths import document_paths
-
-    paths = document_paths(F.col("source"), F.col("source_id"), F.col("revision_date"), F.col("collection_date"))
-    both = F.explode(F.array(paths["raw_path_revision"], paths["raw_path_collection"])).alias("path")
-    objects = stored.select(both, F.octet_length("text").cast("long").alias("length"))
-    return stats.storage_footprint(objects)
+    """One real object per benchmark item in both areas, listed as they are stored."""
+    root = work_dir(t.spark, "footprint")
+    for area in ("by_revision", "by_collection"):
+        items = t.benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
+        items.repartition("item_id").write.partitionBy("item_id").text(f"{root}/{area}")
+    objects = landing.list_objects(t.spark, root)
+    return stats.storage_footprint(objects.filter(F.col("path").endswith(".txt")))
 
 
 # --- ledger -----------------------------------------------------------------
@@ -415,9 +415,9 @@ def expired_artefacts(t: Tables) -> DataFrame:
 @query(
     "cold_revisions",
     with_feed(
-        """SELECT source, source_id, cast(year(doc_date) AS VARCHAR) AS year FROM hist1 WHERE year(doc_date) < 2024 - 2"""
+        """SELECT source, source_id, cast(year(revision_date) AS VARCHAR) AS year FROM hist1 WHERE year(revision_date) < 2026 - 2"""
     ),
 )
 def cold_revisions(t: Tables) -> DataFrame:
-    processed = live_1(t).select("source", "source_id", F.year("doc_date").cast("string").alias("year"))
-    return retention.cold(processed, 2024)
+    processed = live_1(t).select("source", "source_id", F.year("revision_date").cast("string").alias("year"))
+    return retention.cold(processed, 2026)

@@ -151,19 +151,21 @@ def dictionary_reader(t: Tables) -> DataFrame:
 
 @query(
     "object_exists",
-    """SELECT source, cast(doc_id AS VARCHAR) AS source_id, true AS exists FROM documents
-    UNION ALL SELECT 'pages', cast(page_id AS VARCHAR), false FROM pages""",
+    """SELECT 'item' AS kind, item_id AS id, text IS NOT NULL AND item_id % 3 <> 0 AS exists FROM benchmark
+    UNION ALL SELECT 'page', page_id, false FROM pages""",
 )
 def object_exists(t: Tables) -> DataFrame:
-    """Stored are the folders of the documents' sources, asked for is every document and page."""
+    """Two thirds of the benchmark items are stored, an object each; asked for is each item and page."""
     root = work_dir(t.spark, "objects")
-    t.documents.select("source", "doc_id").hint("rebalance", "source").write.partitionBy("source").parquet(root)
-    listed = landing.list_objects(t.spark, root).select(F.regexp_extract("path", r"^source=([^/]+)/", 1).alias("path")).distinct()
-    asked = t.documents.select("source", F.col("doc_id").cast("string").alias("source_id")).unionByName(
-        t.pages.select(F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("source_id"))
+    stored = t.benchmark.filter(F.col("text").isNotNull() & (F.col("item_id") % 3 != 0))
+    stored.select("item_id", "text").repartition("item_id").write.partitionBy("item_id").text(root)
+    objects = landing.list_objects(t.spark, root).filter(F.col("path").endswith(".txt"))
+    objects = objects.select(F.regexp_replace("path", r"/[^/]*$", ".txt").alias("path"))
+    asked = t.benchmark.select(F.lit("item").alias("kind"), F.col("item_id").alias("id")).unionByName(
+        t.pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"))
     )
-    found = landing.object_exists(asked.withColumn("folder", F.col("source")), listed, "folder")
-    return found.select("source", "source_id", "exists")
+    name = F.concat("kind", F.lit("_id="), "id", F.lit(".txt"))
+    return landing.object_exists(asked.withColumn("object", name), objects, "object").select("kind", "id", "exists")
 
 
 @query("export_csv", with_feed("SELECT source, dict_type, cast(entry_id AS VARCHAR) AS entry_id, entry_name FROM dicthist WHERE is_current"))
