@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is cut into order ranges of this width.
+# A key with more rows than this is cut into order ranges of about so many rows.
 HOT_KEY_ROWS = 500_000
 # Lists of hot keys up to this length are broadcast, longer ones are joined.
 BROADCAST_KEYS = 100_000
@@ -22,15 +22,25 @@ class HotKeys:
     limit: int
 
     def mark(self, rows: DataFrame, order: str) -> DataFrame:
-        """Add ``_hot`` and ``_range``, the order range a row of a hot key falls in."""
+        """Add ``_hot`` and ``_range``, the order range a row of a hot key falls in.
+
+        The span of a key's orders is cut into as many ranges as its rows need,
+        so sparse orders, such as times, give no more ranges than dense ones.
+        """
         names = self.keys.columns
-        listed = self.keys.withColumn("_hot", F.lit(True))
-        if self.count <= BROADCAST_KEYS:
-            listed = F.broadcast(listed)
-        position = F.floor(F.col(order) / F.lit(self.limit))
-        return rows.join(listed, names, "left").withColumn(
-            "_range", F.when(F.col("_hot"), position).otherwise(F.lit(0).cast("long"))
+        listed = F.broadcast(self.keys) if self.count <= BROADCAST_KEYS else self.keys
+        spans = (
+            rows.join(listed, names)
+            .groupBy(*names)
+            .agg(F.min(order).alias("_low"), F.max(order).alias("_high"), F.ceil(F.count(F.lit(1)) / self.limit).alias("_cuts"))
+            .withColumn("_hot", F.lit(True))
         )
+        if self.count <= BROADCAST_KEYS:
+            spans = F.broadcast(spans)
+        share = (F.col(order) - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
+        position = F.floor(share * F.col("_cuts"))
+        marked = rows.join(spans, names, "left").withColumn("_range", F.when(F.col("_hot"), position).otherwise(F.lit(0).cast("long")))
+        return marked.drop("_low", "_high", "_cuts")
 
 
 def find_hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_KEY_ROWS) -> HotKeys | None:
@@ -54,7 +64,7 @@ def number_changes(
     key; for the first row of a key ``starts`` decides. ``_version`` is the
     number of changed rows so far. ``order`` is a whole number, unique in a key.
 
-    Hot keys are cut into order ranges of ``limit`` rows at most; the state
+    Hot keys are cut into order ranges of about ``limit`` rows; the state
     between ranges travels through one summary row per range.
     """
     if hot is None:

@@ -191,3 +191,16 @@ def test_newest_per_key_and_hot_keys(spark):
     hot = chains.find_hot_keys(df, ["k"], 2)
     assert (hot.count, [r[0] for r in hot.keys.collect()]) == (1, ["a"])
     assert chains.find_hot_keys(df, ["k"], 3) is None
+
+
+def test_sparse_orders_give_few_ranges(spark):
+    """A key with one row a minute is cut by its rows, not by its microseconds."""
+    from annalist.operators.chains import find_hot_keys, with_next
+
+    rows = spark.range(20_000).select(F.lit("a").alias("key"), (F.col("id") * 60_000_000).alias("at")).union(spark.sql("SELECT 'b', 5L"))
+    hot = find_hot_keys(rows, ["key"], 1000)
+    sizes = [r["count"] for r in hot.mark(rows, "at").filter("_hot").groupBy("_range").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 1001
+    following = with_next(rows, ["key"], "at", hot)
+    assert following.filter("key = 'a' AND _next = at + 60000000").count() == 19_999
+    assert following.filter("_next IS NULL").count() == 2
