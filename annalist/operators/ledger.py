@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.chains import newest_per_key
 from annalist.operators.history import at
 
+ACTION_COUNTS = ["documents_new", "documents_updated", "documents_unchanged"]
 COUNTS = ["documents_found", "documents_new", "documents_updated", "documents_unchanged", "documents_failed"]
 
 
@@ -23,13 +26,21 @@ def run_rows(
     run_id: str,
     started_at: str,
     completed_at: str,
+    sources: Sequence[str] = (),
+    first: DataFrame | None = None,
 ) -> DataFrame:
-    """One ledger row per listed source, from the counts each step left.
+    """One ledger row per source, from the counts each step left.
 
     ``listed`` and ``failed`` hold one row per record, ``actions`` one row per
-    merged record, ``documents`` the current rows after the merge.
+    merged record, ``documents`` the current rows after the merge. Sources named
+    in ``sources`` have a row even if they listed nothing. ``first`` holds rows
+    of runs that finished before: a run repeated after its commit merges nothing
+    new, so the actions counted then are kept.
     """
     found = listed.groupBy("source").agg(F.count(F.lit(1)).alias("documents_found"))
+    if sources:
+        named = listed.sparkSession.createDataFrame([(s,) for s in sources], "source STRING")
+        found = found.join(named, "source", "full")
     merged = actions.groupBy("source").agg(
         F.count_if(F.col("action") == "insert").alias("documents_new"),
         F.count_if(F.col("action") == "update").alias("documents_updated"),
@@ -44,7 +55,7 @@ def run_rows(
     # The four inputs are one row per source here, so these joins are small.
     joined = found.join(merged, "source", "left").join(lost, "source", "left").join(texts, "source", "left")
     numbers = [*COUNTS, "documents_with_text", "total_text_length", "total_word_count"]
-    return joined.select(
+    counted = joined.select(
         F.concat(F.lit(f"{run_id}_"), F.col("source")).alias("run_id"),
         "source",
         at(started_at).alias("started_at"),
@@ -52,6 +63,26 @@ def run_rows(
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
         F.lit(None).cast("string").alias("error_message"),
     ).withColumn("status", run_status(F.col("documents_failed"), F.col("completed_at")))
+    if first is None:
+        return counted
+    kept = first.filter(F.col("status") != "running").select("run_id", *[F.col(c).alias(f"_{c}") for c in ACTION_COUNTS])
+    counted = counted.join(kept, "run_id", "left")
+    return counted.withColumns({c: F.coalesce(f"_{c}", c) for c in ACTION_COUNTS}).drop(*[f"_{c}" for c in ACTION_COUNTS])
+
+
+def running_rows(spark: SparkSession, sources: Sequence[str], run_id: str, started_at: str) -> DataFrame:
+    """Ledger rows of a run that has begun: no counts, no end."""
+    rows = spark.createDataFrame([(f"{run_id}_{s}", s) for s in sources], "run_id STRING, source STRING")
+    numbers = [*COUNTS, "documents_with_text", "total_text_length", "total_word_count"]
+    return rows.select(
+        "run_id",
+        "source",
+        at(started_at).alias("started_at"),
+        F.lit(None).cast("timestamp_ntz").alias("completed_at"),
+        F.lit("running").alias("status"),
+        *[F.lit(0).cast("long").alias(c) for c in numbers],
+        F.lit(None).cast("string").alias("error_message"),
+    )
 
 
 def upsert(stored: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -122,6 +122,12 @@ def run_day(
     All times are given, none is taken from the clock, so a rerun is equal.
     """
     spark, day = store.spark, started_at[:10]
+    columns = [f.split()[0] for f in schemas.RUNS.split(", ")]
+    # The run is in the ledger before it does anything; one that finished before keeps its row until it has again.
+    own = store.runs().filter((F.col("run_id") == f"{run_id}_{reader.name}") & (F.col("status") != "running"))
+    finished = store.stage(own, run_id, "finished_before")
+    if finished.isEmpty():
+        store.replace("collection_runs", ledger.running_rows(spark, [reader.name], run_id, started_at).select(*columns), f"part={run_id}-{reader.name}")
     document_table = store.table("documents", reader.name)
     type_table = store.table("document_types", reader.name)
     collect_dictionaries(reader, store, run_id, started_at, day)
@@ -164,8 +170,8 @@ def run_day(
 
     # Ledger, checks and report read the committed tables.
     live = document_table.current()
-    run = ledger.run_rows(canonical, actions, intake.rejected(canonical), live, run_id, started_at, completed_at)
-    store.replace("collection_runs", run.select(*[f.split()[0] for f in schemas.RUNS.split(", ")]), f"part={run_id}")
+    run = ledger.run_rows(canonical, actions, intake.rejected(canonical), live, run_id, started_at, completed_at, [reader.name], finished)
+    store.replace("collection_runs", run.select(*columns), f"part={run_id}-{reader.name}")
     statuses = quality.valid_statuses(store.table("dictionaries", reader.name).current())
     checked = quality.flag_documents(live, statuses, min_text_length)
     scores = quality.quality_score(quality.check_counts(checked, ["source"]))

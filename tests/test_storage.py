@@ -234,6 +234,21 @@ def test_rerun_of_a_day(spark, tmp_path):
         result = run_day(reader, store, "run", "2026-02-01 00:00:00", "2026-02-01 00:10:00")
     assert tuple(result.actions.first()) == ("s", 0, 0, 2)
     assert store.read("documents").count() == 2 and store.runs().count() == 1
+    # The ledger tells what the run brought when it first finished.
+    row = store.runs().first()
+    assert (row["status"], row["documents_found"], row["documents_new"], row["documents_unchanged"]) == ("success", 2, 2, 0)
+
+
+def test_ledger_of_odd_runs(spark, tmp_path):
+    """An empty list has a row, and a run that broke off is seen as running."""
+    store = Store(spark, f"{tmp_path}/store")
+    land(tmp_path / "day", [], {99: "of no record"})
+    run_day(get_source("landing_zone", "s", path=f"{tmp_path}/day"), store, "empty", "2026-02-01 00:00:00", "2026-02-01 00:10:00")
+    row = store.runs().first()
+    assert (row["run_id"], row["status"], row["documents_found"]) == ("empty_s", "success", 0)
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark makes of a missing folder
+        run_day(get_source("landing_zone", "s", path=f"{tmp_path}/nowhere"), store, "lost", "2026-02-02 00:00:00", "2026-02-02 00:10:00")
+    assert {r["run_id"]: r["status"] for r in store.runs().collect()} == {"empty_s": "success", "lost_s": "running"}
 
 
 def test_worklist_only(spark, tmp_path):
