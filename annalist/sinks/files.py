@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +19,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 def child_names(spark: SparkSession, path: str) -> list[str]:
     system, location = _path(spark, path)
     return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already. Of two callers one wins, where the file system creates atomically."""
+    system, location = _path(spark, path)
+    try:
+        system.create(location, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True

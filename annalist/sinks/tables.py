@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.sinks.files import child_names, exists
+from annalist.sinks.files import child_names, claim, exists
 
 
 class HistoryTable:
@@ -53,14 +53,17 @@ class HistoryTable:
     def commit(self, merged: DataFrame, number: int | None = None) -> int:
         """Store the result of a merge as one new folder.
 
-        Without ``number`` the next free one is taken, and of two writers that
-        chose the same one fails. A caller that numbers its commits itself, as a
+        Without ``number`` the next free one is claimed by a marker file before
+        anything is written, so of two writers that chose the same one fails. A caller that numbers its commits itself, as a
         stream does, may write over the remains of its own failed attempt.
         """
         columns = [field.split()[0] for field in self.schema.split(", ")]
         mode = "error" if number is None else "overwrite"
         if number is None:
-            number = max(self._folders(), default=0) + 1
+            claimed = [int(name) for name in child_names(self.spark, f"{self.path}/_claims") if name.isdigit()]
+            number = max([*self._folders(), *claimed], default=0) + 1
+            if not claim(self.spark, f"{self.path}/_claims/{number}"):
+                raise ValueError(f"commit {number} is being written by another job")
         elif number in self.commits():
             raise ValueError(f"commit {number} is already stored")
         merged.select(*columns).write.mode(mode).partitionBy("is_current").parquet(f"{self.path}/commit={number}")

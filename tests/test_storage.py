@@ -251,6 +251,15 @@ def test_ledger_of_odd_runs(spark, tmp_path):
     assert {r["run_id"]: r["status"] for r in store.runs().collect()} == {"empty_s": "success", "lost_s": "running"}
 
 
+def test_a_commit_number_is_claimed_once(spark, tmp_path):
+    assert files.claim(spark, f"{tmp_path}/t/_claims/1")
+    assert not files.claim(spark, f"{tmp_path}/t/_claims/1")
+    table = HistoryTable(spark, f"{tmp_path}/t", "source STRING, is_current BOOLEAN")
+    rows = spark.createDataFrame([("s", True)], "source STRING, is_current BOOLEAN")
+    # A number claimed by a job that died is passed over.
+    assert table.commit(rows) == 2 and table.commits() == [2] and table.current().count() == 1
+
+
 def test_worklist_only(spark, tmp_path):
     store = Store(spark, f"{tmp_path}/store")
     land(tmp_path / "day1", [record(1), record(2)], {1: "one", 2: "two"})
