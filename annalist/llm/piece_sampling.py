@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.llm.arrays import SpanHashes, distinct, joined_points, mix, string_texts
+from annalist.llm.arrays import SpanHashes, distinct, joined_points, mix, slices, string_texts
 
 #: How the vocabulary writes a space; the character itself is encoded by its bytes.
 SPACE = 0x2581
@@ -289,8 +289,9 @@ def decoded(rows: DataFrame, ids: Column, path: str) -> DataFrame:
         for batch in batches:
             lists = batch.column(1)
             sizes = np.array(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
-            flat = np.array(lists.flatten(), dtype=np.int64)
-            texts = decode(words, flat, sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+            for start, stop in slices(sizes, _SLICE // 2):
+                ids = np.array(lists.slice(start, stop - start).flatten(), dtype=np.int64)
+                texts = pa.array(decode(words, ids, sizes[start:stop]), pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), texts], names=["row", "text"])
 
     return rows.select(F.struct("*").alias("row"), ids.alias("ids")).mapInArrow(run, schema)
