@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.operators import curation
-from checks.registry import Tables, query
+from annalist.session import work_dir
+from checks.registry import SQL, Tables, query
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 _LINES = "list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ') <> '')"
@@ -115,7 +116,25 @@ def quality_flags(t: Tables) -> DataFrame:
     """,
 )
 def trigram_perplexity(t: Tables) -> DataFrame:
-    counts = curation.trigrams(t.texts)
-    good = t.labels.filter("quality = 1").select("doc_id")
-    model = curation.trigram_model(counts.join(good, "doc_id", "left_semi"))
-    return curation.trigram_perplexity(counts, model).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+    return scores(t).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+
+
+def scores(t: Tables) -> DataFrame:
+    """Perplexities under a model of the labelled good texts."""
+    good = t.texts.select("doc_id", "text").join(t.labels.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    counts = curation.trigram_counts(curation.trigrams(good))
+    path = work_dir(t.spark, "trigrams")
+    counts.write.parquet(path)
+    model = curation.trigram_model(t.spark.read.schema(counts.schema).parquet(path))
+    return curation.trigram_perplexity(curation.trigrams(t.texts), model)
+
+
+@query(
+    "perplexity_filter",
+    f"""SELECT d.doc_id, p.perplexity, coalesce(p.perplexity <= {curation.MAX_PERPLEXITY}, true) AS kept
+    FROM documents d LEFT JOIN ({SQL['trigram_perplexity']}) p ON p.doc_id = d.doc_id""",
+)
+def perplexity_filter(t: Tables) -> DataFrame:
+    """A row for every document, also for those without a trigram."""
+    found = t.documents.select("doc_id").join(scores(t), "doc_id", "left").select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+    return found.select("*", curation.perplexity_in_range(F.col("perplexity")).alias("kept"))
