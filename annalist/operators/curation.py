@@ -159,15 +159,18 @@ def perplexity_in_range(perplexity: Column, most: float = MAX_PERPLEXITY) -> Col
 
 
 def trigrams(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, trigram``: a row for each place of each whole text in lower case where three characters begin."""
+    """``key, trigram``: a row for each place of each whole text in lower case where three characters begin.
+
+    A text without such a place, as one that is null or of two characters, has one row with a null.
+    """
     # One pass over the text; every place is matched, as only its first character is consumed.
     parts = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?s)(?=(...))."), F.lit(1))
-    return documents.select(key, F.explode(parts).alias("trigram"))
+    return documents.select(key, F.explode_outer(parts).alias("trigram"))
 
 
 def trigram_counts(places: DataFrame) -> DataFrame:
     """``trigram, n`` over all texts."""
-    return places.groupBy("trigram").agg(F.count(F.lit(1)).alias("n"))
+    return places.filter(F.col("trigram").isNotNull()).groupBy("trigram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def trigram_model(counts: DataFrame) -> DataFrame:
@@ -184,9 +187,10 @@ def trigram_model(counts: DataFrame) -> DataFrame:
 def trigram_perplexity(places: DataFrame, model: DataFrame, key: str = "doc_id", small: int = BROADCAST_TRIGRAMS) -> DataFrame:
     """``key, perplexity`` of each text under a model; a trigram unknown to it is as unlikely as its rarest.
 
+    Every key has a row; the perplexity of a text without a trigram is null.
     A model of up to ``small`` trigrams goes to every task, so that no place is
     shuffled; a larger one is joined as AQE sees fit, with the same result.
     """
     known = F.broadcast(model) if model.limit(small + 1).count() <= small else model
-    log_p = F.coalesce(F.col("log_p"), model.agg(F.min("log_p")).scalar())
+    log_p = F.when(F.col("trigram").isNotNull(), F.coalesce(F.col("log_p"), model.agg(F.min("log_p")).scalar()))
     return places.join(known, "trigram", "left").groupBy(key).agg(F.exp(-F.avg(log_p)).alias("perplexity"))

@@ -116,7 +116,8 @@ def quality_flags(t: Tables) -> DataFrame:
     """,
 )
 def trigram_perplexity(t: Tables) -> DataFrame:
-    return scores(t).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+    """Of texts with a trigram, as its SQL has no others; ``perplexity_filter`` has all."""
+    return scores(t).filter(F.col("perplexity").isNotNull()).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
 
 
 def scores(t: Tables) -> DataFrame:
