@@ -1,7 +1,9 @@
 """Line dedup by site-relative frequency.
 
 A line is boilerplate of a site if more than a given share of the site's pages
-hold it. Pages are counted per (host, line) with each page's distinct lines, so
+hold it, and at least three pages do. That floor departs from the share alone:
+hosts of one or two pages keep all their lines, also one that stands on both
+pages, and on hosts of three to six pages a line on two of them stays. Pages are counted per (host, line) with each page's distinct lines, so
 partial sums carry a frequent line as one row per task, and a big host spreads
 over its lines. Only the boilerplate lines travel back to the pages that hold
 them. Everything is DataFrame functions.
