@@ -137,6 +137,8 @@ def run_day(
     canonical = store.stage(intake.canonicalise(listing, day), run_id, "canonical")
     listed = canonical.select("source", "source_id", "raw_metadata", "reject_reason", "seq")
     artefacts.write_artefact(listed, store.temp, day, run_id, "document_list")
+    left_out = store.stage(reader.pages_left_out(spark), run_id, "pages_left_out")
+    artefacts.write_artefact(left_out, store.temp, day, run_id, "pages_left_out")
     documents = intake.accepted(canonical)
     stored = history.current_state(document_table.current())
     classified = store.stage(intake.classify(documents, stored, skip_existing), run_id, "classified")
@@ -176,7 +178,7 @@ def run_day(
     checked = quality.flag_documents(live, statuses, min_text_length)
     scores = quality.quality_score(quality.check_counts(checked, ["source"]))
     statistics = stats.corpus_statistics(live, ["source"])
-    report = artefacts.collection_report(run, statistics, completed_at)
+    report = artefacts.collection_report(run, statistics, completed_at, left_out)
     artefacts.write_artefact(report, store.temp, day, run_id, "report")
 
     return RunResult(

@@ -28,11 +28,20 @@ def write_snapshot(snapshot: DataFrame, root: str) -> str:
     return path
 
 
-def collection_report(run: DataFrame, statistics: DataFrame, created_at: str) -> DataFrame:
-    """One nested JSON document per run; both inputs hold one row per source."""
+def collection_report(run: DataFrame, statistics: DataFrame, created_at: str, left_out: DataFrame | None = None) -> DataFrame:
+    """One nested JSON document per run; run and statistics hold one row per source.
+
+    With ``left_out``, pages of the list that do not count, the report has their
+    number, that of their records, and that of pages whose records are unknown.
+    """
     joined = run.drop("total_text_length", "total_word_count", "documents_with_text").join(statistics, "source", "left")
     counts = [c for c in run.columns if c.startswith("documents_") and c != "documents_with_text"]
     numbers = [c for c in statistics.columns if c != "source"]
+    extra = []
+    if left_out is not None:
+        of_pages = {"pages": F.count(F.lit(1)), "records": F.sum("records"), "unreadable_pages": F.count_if(F.col("records").isNull())}
+        joined = joined.join(left_out.groupBy("source").agg(*[c.alias(f"_{name}") for name, c in of_pages.items()]), "source", "left")
+        extra = [F.struct(*[F.coalesce(f"_{name}", F.lit(0)).cast("long").alias(name) for name in of_pages]).alias("left_out")]
     return joined.select(
         "run_id",
         "source",
@@ -40,6 +49,7 @@ def collection_report(run: DataFrame, statistics: DataFrame, created_at: str) ->
         F.struct(*counts).alias("collection"),
         F.struct(*numbers).alias("statistics"),
         F.struct("started_at", "completed_at").alias("duration"),
+        *extra,
     )
 
 

@@ -13,6 +13,8 @@ from annalist.schemas import LIST_PAGE, LIST_RECORD_FIELDS, LIST_RECORD_KINDS, L
 DAY_FIELDS = ("orgdat", "poddat", "pridat")
 # Numbers a record cannot be stored without being right.
 CHECKED_NUMBERS = ("dokid", "status")
+# Pages that do not count; records is null where a page cannot be read.
+LEFT_OUT = "source string, page int, records int, reason string"
 
 
 def file_stem(path: Column) -> Column:
@@ -119,6 +121,12 @@ def _counted_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
     )
 
 
+def page_sizes(pages: DataFrame) -> DataFrame:
+    """Pages with the number of their records instead of these; null where there is no list."""
+    records = F.when(F.col("list").isNotNull(), F.size("list"))
+    return pages.select("source", "page", records.alias("records"), "announced", "broken")
+
+
 def complete_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Numbers of the pages that count: source, page.
 
@@ -172,8 +180,7 @@ def listed_records(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
 
     ``seq`` counts the records of a source in list order, from 0.
     """
-    sizes = pages.select("source", "page", F.size("list").alias("records"), "announced", "broken")
-    kept = pages.join(_counted_pages(sizes, max_pages), ["source", "page"])
+    kept = pages.join(_counted_pages(page_sizes(pages), max_pages), ["source", "page"])
     records = kept.select("source", "before", F.posexplode("list").alias("_at", "record"))
     return typed_records(records.select("source", "record", (F.col("before") + F.col("_at")).alias("seq")))
 

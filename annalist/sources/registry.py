@@ -27,6 +27,10 @@ class SourceReader(ABC):
     def listing(self, spark: SparkSession) -> DataFrame:
         """Listed records with source and seq."""
 
+    def pages_left_out(self, spark: SparkSession) -> DataFrame:
+        """source, page, records, reason of the pages ``listing`` leaves out; none where a source has no pages."""
+        return spark.createDataFrame([], landing.LEFT_OUT)
+
     @abstractmethod
     def texts(self, spark: SparkSession) -> DataFrame:
         """source, source_id, text"""
@@ -60,9 +64,14 @@ class LandingZone(SourceReader):
         manifest = landing.read_manifests(spark, f"{path}/manifests")
         return landing.dictionary_entries(manifest, files).withColumn("source", F.lit(self.name))
 
+    def _pages(self, spark: SparkSession) -> DataFrame:
+        return landing.read_pages(spark, f"{self.config['path']}/list").withColumn("source", F.lit(self.name))
+
     def listing(self, spark: SparkSession) -> DataFrame:
-        pages = landing.read_pages(spark, f"{self.config['path']}/list").withColumn("source", F.lit(self.name))
-        return landing.listed_records(pages, self.config.get("max_pages"))
+        return landing.listed_records(self._pages(spark), self.config.get("max_pages"))
+
+    def pages_left_out(self, spark: SparkSession) -> DataFrame:
+        return landing.pages_left_out(landing.page_sizes(self._pages(spark)), self.config.get("max_pages"))
 
     def texts(self, spark: SparkSession) -> DataFrame:
         return landing.read_texts(spark, f"{self.config['path']}/texts").withColumn("source", F.lit(self.name))
