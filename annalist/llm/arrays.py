@@ -1,4 +1,4 @@
-"""Texts of an Arrow batch as flat numpy arrays, and hashes of any span in them.
+"""Texts of an Arrow batch as flat numpy arrays, and hashes and comparisons of any span in them.
 
 Helpers for code inside tasks. A batch is cut into slices of bounded size (one
 text may exceed it), so that memory follows the slice and not the batch.
@@ -45,8 +45,10 @@ def _power(name: str, base: np.uint64, size: int) -> np.ndarray:
 class SpanHashes:
     """64-bit hashes of spans [start, end) of one array of codes.
 
-    Equal spans hash alike wherever they stand; two unequal spans collide with
-    a chance near 2^-64.
+    Equal spans hash alike wherever they stand. Unequal spans seldom do, but some
+    regular ones must, as the sums are taken modulo 2^64 (Thue-Morse words of
+    1,024 codes): where a hash would stand for a content, compare the content
+    too (:func:`distinct_spans`) or use :class:`PrimeHashes`.
     """
 
     def __init__(self, codes: np.ndarray, seed: int = 0):
@@ -64,6 +66,56 @@ class SpanHashes:
         return mix(self.raw(start, end) + (end - start).astype(np.uint64))
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+#: Two bases below the prime and what sets the codes under each apart.
+_BASES = ((0x5D1B3F4A, 0x9AE16A3B2F90404F), (0x2F6E2B1C, 0xC3A5C85C97CB3127))
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime 2^31 - 1, which may be left for 0; values are below 2^62."""
+    for _ in range(2):
+        x = (x & _PRIME) + (x >> np.uint64(31))
+    return x
+
+
+def _prime_power(base: int, size: int) -> np.ndarray:
+    name = f"prime {base}"
+    known = _powers.get(name)
+    if known is None or len(known) < size:
+        known = np.ones(1, dtype=np.uint64)
+        while len(known) < max(size, SLICE + 1024):
+            known = np.concatenate([known, _folded(known * np.uint64(pow(base, len(known), int(_PRIME))))])
+        if len(known) <= 4 * SLICE:
+            _powers[name] = known
+    return known[:size]
+
+
+class PrimeHashes:
+    """As :class:`SpanHashes`, by two polynomials modulo a prime with bases of their own.
+
+    A polynomial of degree ``n`` has at most ``n`` roots, so two unequal spans of
+    ``n`` codes collide with a chance of at most ``(n / 2^31)^2`` over the choice
+    of bases. For sets of spans, whose contents are not at hand when compared.
+    """
+
+    def __init__(self, codes: np.ndarray, seed: int = 0):
+        self.parts = []
+        for base, salt in _BASES:
+            terms = _folded(mix(codes.astype(np.uint64) + np.uint64((seed * 0x632BE59BD9B4E019 + salt) % 2**64)) >> np.uint64(2))
+            terms = _folded(terms * _prime_power(base, len(codes)))
+            sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            self.parts.append((sums, _prime_power(pow(base, -1, int(_PRIME)), len(codes) + 1)))
+
+    def get(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(start), dtype=np.uint64)
+        for sums, down in self.parts:
+            part = _folded(_folded(sums[end] - sums[start]) * down[start])
+            part[part == _PRIME] = 0
+            found = (found << np.uint64(31)) | part
+        return mix(found ^ ((end - start).astype(np.uint64) * _BASE))
+
+
 def slices(sizes: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
     """Row ranges whose sizes sum to at most ``limit``, or hold one row."""
     ends = np.cumsum(sizes)
@@ -142,3 +194,35 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     index = np.empty(len(values), dtype=np.int64)
     index[order] = np.cumsum(new) - 1
     return sorted_values[new], order[new], index
+
+
+def spans_equal(codes: np.ndarray, start: np.ndarray, size: np.ndarray, other: np.ndarray, other_start: np.ndarray) -> np.ndarray:
+    """Whether each span of ``codes`` holds what the span of ``other`` of the same size holds."""
+    ends = np.cumsum(size)
+    inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+    wrong = np.flatnonzero(codes[np.repeat(start, size) + inside] != other[np.repeat(other_start, size) + inside])
+    equal = np.ones(len(start), dtype=bool)
+    equal[np.searchsorted(ends, wrong, side="right")] = False
+    return equal
+
+
+def distinct_spans(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An example of each distinct span and for each span the index of its example, by content.
+
+    Hashes bring spans together; each is then compared with its example, code by
+    code, and those that only share its hash are told apart by their bytes.
+    """
+    _, example, which = distinct(SpanHashes(codes).get(start, end))
+    size, lead = end - start, example[which]
+    wrong = size != size[lead]
+    alike = np.flatnonzero(~wrong)
+    wrong[alike] = ~spans_equal(codes, start[alike], size[alike], codes, start[lead[alike]])
+    known: dict[bytes, int] = {}
+    more = []
+    for i in np.flatnonzero(wrong).tolist():
+        content = codes[start[i] : end[i]].tobytes()
+        if content not in known:
+            known[content] = len(example) + len(more)
+            more.append(i)
+        which[i] = known[content]
+    return np.append(example, np.array(more, dtype=example.dtype)), which

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.llm.arrays import SpanHashes, byte_texts, joined_bytes, mix, runs, sorted_set
+from annalist.llm.arrays import PrimeHashes, byte_texts, joined_bytes, mix, runs, sorted_set
 from annalist.llm.components import components
 from annalist.llm.frames import stage, with_results
 
@@ -62,8 +62,8 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]
     """Sorted distinct shingle hashes of each text; a shorter text is one shingle, one without words none."""
     codes, starts = joined_bytes(texts)
     start, end = runs(~((codes == 32) | ((codes >= 9) & (codes <= 13))))
-    of_words = SpanHashes(codes).get(start, end)
-    chain = SpanHashes(of_words, seed=words)
+    of_words = PrimeHashes(codes).get(start, end)
+    chain = PrimeHashes(of_words, seed=words)
     bounds = np.searchsorted(start, starts)
     for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         size = min(words, last - first)

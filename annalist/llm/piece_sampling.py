@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.llm.arrays import SpanHashes, distinct, joined_points, mix, slices, string_texts
+from annalist.llm.arrays import SpanHashes, distinct_spans, joined_points, mix, slices, spans_equal, string_texts
 
 #: How the vocabulary writes a space; the character itself is encoded by its bytes.
 SPACE = 0x2581
@@ -57,6 +57,9 @@ class Vocabulary:
         hashes = SpanHashes(codes).get(starts[:-1], starts[1:] - 1)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(normal, dtype=np.int32)[order]
+        if np.any(self.hashes[1:] == self.hashes[:-1]):
+            raise ValueError("two pieces share a hash")
+        self.piece_codes, self.piece_starts = codes, starts[order]
         self.weights = alpha * weights[self.ids]
         # Most spans are no piece: one look tells nearly always.
         self.maybe = np.zeros(1 << 21, dtype=bool)
@@ -91,8 +94,11 @@ class Vocabulary:
             likely = np.flatnonzero(self.maybe[wanted >> np.uint64(43)])
             place = np.minimum(np.searchsorted(self.hashes, wanted[likely]), len(self.hashes) - 1)
             known = self.hashes[place] == wanted[likely]
-            place = place[known]
-            parts.append((at[likely[known]], np.full(len(place), size), self.weights[place], self.ids[place]))
+            place, start_at = place[known], at[likely[known]]
+            # A hash only names the piece a span could be.
+            same = spans_equal(codes, start_at, np.full(len(place), size), self.piece_codes, self.piece_starts[place])
+            place, start_at = place[same], start_at[same]
+            parts.append((start_at, np.full(len(place), size), self.weights[place], self.ids[place]))
         alone = np.flatnonzero(~self.single[codes])
         points = np.where(codes[alone] == _LITERAL, SPACE, codes[alone])
         sizes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
@@ -156,23 +162,25 @@ def _filtered(words: Vocabulary, codes: np.ndarray, sizes: np.ndarray) -> tuple[
 
 
 class Lattices:
-    """Filtered lattices of segments seen before, by hash, of at most ``most`` segments and characters of some ten each."""
+    """Filtered lattices of segments seen before, by content, of at most ``most`` segments and characters of some ten each."""
 
     def __init__(self, words: Vocabulary, most: int = 150_000):
         self.words, self.most = words, most
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[bytes, int] = {}
         self.base = np.zeros(0, np.int64)
         self.edge = np.zeros(0, np.int64)
         self.share, self.ids, self.length = np.zeros(0, np.float32), np.zeros(0, np.int32), np.zeros(0, np.uint8)
 
-    def get(self, hashes: np.ndarray, codes: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The first node of each segment; segments not yet known are filtered now."""
-        if len(self.slots) + len(hashes) > self.most or len(self.edge) > 12 * self.most:
+    def get(self, codes: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The first node of each of some distinct segments; those not yet known are filtered now."""
+        blob, width = codes.tobytes(), codes.itemsize
+        contents = [blob[a:b] for a, b in zip((start * width).tolist(), ((start + sizes) * width).tolist(), strict=True)]
+        if len(self.slots) + len(contents) > self.most or len(self.edge) > 12 * self.most:
             self._forget()
-        slots = [self.slots.get(h, -1) for h in hashes.tolist()]
+        slots = [self.slots.get(c, -1) for c in contents]
         new = np.array([i for i, slot in enumerate(slots) if slot < 0], dtype=np.int64)
         if len(new):
             own = sizes[new]
@@ -183,8 +191,8 @@ class Lattices:
             self.edge = np.concatenate([self.edge, edge + len(self.share)])
             self.share = np.concatenate([self.share, share])
             self.ids, self.length = np.concatenate([self.ids, ids]), np.concatenate([self.length, length])
-            for place, (i, key) in enumerate(zip(new.tolist(), hashes[new].tolist(), strict=True)):
-                slots[i] = self.slots[key] = known + place
+            for place, i in enumerate(new.tolist()):
+                slots[i] = self.slots[contents[i]] = known + place
         return self.base[np.array(slots, dtype=np.int64)]
 
     def draw(self, node: np.ndarray, draw: np.ndarray) -> np.ndarray:
@@ -221,8 +229,8 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray) -> list[np.nd
     start, end = _segments(words, codes, starts)
     if not len(start):
         return [np.zeros(0, np.int32) for _ in texts]
-    found, example, which = distinct(SpanHashes(codes).get(start, end))
-    base = lattices.get(found, codes, start[example], (end - start)[example])[which]
+    example, which = distinct_spans(codes, start, end)
+    base = lattices.get(codes, start[example], (end - start)[example])[which]
     owner = np.searchsorted(starts, start, side="right") - 1
     chosen = np.full(len(codes), -2, dtype=np.int32)
     left, at, salt, offset = end - start, end, keys[owner], starts[owner]

@@ -13,7 +13,7 @@ import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-from annalist.llm.arrays import SpanHashes, distinct, joined_points
+from annalist.llm.arrays import distinct_spans, joined_points
 
 #: Code points that the rule's \s matches.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -82,9 +82,13 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids by ``tokenizers``, with the ids of words seen before kept by hash (at most ``most`` words)."""
+    """Ids by ``tokenizers``, with the ids of words seen before kept (at most ``most`` words).
 
-    def __init__(self, path: str, most: int = 800_000):
+    ``specials``: whether the string of a special token inside a text gives that
+    token, as the library does; else it is text like any other.
+    """
+
+    def __init__(self, path: str, most: int = 800_000, specials: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         # The word model alone, without the cache that words seen once would only churn.
         with open(path, encoding="utf-8") as file:
@@ -92,12 +96,12 @@ class Encoder:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.words = BPE(vocab=model["vocab"], merges=pairs, cache_capacity=0)
         self.letters = _byte_letters()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.most = most
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[str, int] = {}
         self.first = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -117,20 +121,17 @@ class Encoder:
         plain = ["" if i in odd else t for i, t in enumerate(texts)]
         codes, starts = joined_points(plain)
         start, end = word_spans(codes, starts)
-        found, at, which = distinct(SpanHashes(codes).get(start, end))
-        if len(self.slots) + len(found) > self.most:
+        at, which = distinct_spans(codes, start, end)
+        if len(self.slots) + len(at) > self.most:
             self._forget()
-        slots = [self.slots.get(h, -1) for h in found.tolist()]
-        new = [i for i, slot in enumerate(slots) if slot < 0]
+        owner = np.searchsorted(starts, start[at], side="right") - 1
+        begin, finish = (start[at] - starts[owner]).tolist(), (end[at] - starts[owner]).tolist()
+        words = [plain[o][a:b] for o, a, b in zip(owner.tolist(), begin, finish, strict=True)]
+        new = [w for w in words if w not in self.slots]
         if new:
-            owner = np.searchsorted(starts, start[at[new]], side="right") - 1
-            begin = (start[at[new]] - starts[owner]).tolist()
-            finish = (end[at[new]] - starts[owner]).tolist()
-            base = len(self.first)
-            self._learn([plain[o][a:b] for o, a, b in zip(owner.tolist(), begin, finish, strict=True)])
-            keys = found[new].tolist()
-            for place, (i, key) in enumerate(zip(new, keys, strict=True)):
-                slots[i] = self.slots[key] = base + place
+            self.slots.update(zip(new, range(len(self.first), len(self.first) + len(new)), strict=True))
+            self._learn(new)
+        slots = [self.slots[w] for w in words]
         slot = np.array(slots, dtype=np.int64)[which]
         sizes = self.size[slot]
         ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -142,11 +143,11 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials: bool = True) -> Encoder:
     """The encoder of this process for a file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, specials) not in _encoders:
+        _encoders[path, specials] = Encoder(path, specials=specials)
+    return _encoders[path, specials]
