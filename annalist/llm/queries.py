@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, piece_sampling, quality_rules, sharding, toxicity
-from annalist.llm.frames import table
+from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
+from annalist.llm.frames import id_hash, let, table
 from annalist.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -127,3 +127,42 @@ def op2_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("text") == text).alias("lossless"),
     )
+
+
+def with_repeats(documents: DataFrame) -> DataFrame:
+    """The documents, a tenth of them with a passage that repeats itself up to the end, as the contract of op11 plants them."""
+    text = F.coalesce("text", F.lit(""))
+    h = id_hash("doc_id")
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+        again = F.ceil((n - start) / period).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, start + 1, period), again))
+        return F.when(n > 0, F.array_join(F.slice(F.concat(F.slice(words, 1, start), tail), 1, n), " ")).otherwise(text)
+
+    split = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    return documents.select("doc_id", F.when(h % 10 == 0, let(split, planted)).otherwise(text).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_repeats(table(spark, folder, "documents")))
+    # Runs come by start and period, so of equals the first one stays.
+    better = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    nothing = F.lit(None).cast(periodic_runs.RUN)
+    best = F.aggregate("runs", nothing, lambda best, run: F.when(better(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
