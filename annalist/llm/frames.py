@@ -36,8 +36,8 @@ def id_hash(column: str) -> Column:
 def with_results(documents: DataFrame, text: str, results: T.StructType, work, per_slice) -> DataFrame:
     """``row`` (a struct of all columns as they came) next to result columns computed in Python.
 
-    ``per_slice(texts, work)`` gives one list or array per field of ``results``
-    for a list of strings, null read as empty. Rows stay in their partition, and
+    ``per_slice(texts, work)`` gives one list or array (numpy, Arrow) per field of
+    ``results`` for a list of strings, null read as empty. Rows stay in their partition, and
     since the columns travel in a struct no name can clash.
     """
     place = documents.columns.index(text)
@@ -49,7 +49,7 @@ def with_results(documents: DataFrame, text: str, results: T.StructType, work, p
             for start, stop, texts in string_texts(rows.field(place)):
                 arrays = [rows.slice(start, stop - start)]
                 for field, values in zip(results.fields, per_slice(texts, work), strict=True):
-                    arrays.append(pa.array(values, to_arrow_type(field.dataType)))
+                    arrays.append(values if isinstance(values, pa.Array) else pa.array(values, to_arrow_type(field.dataType)))
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", *results.names])
 
     return documents.select(F.struct("*").alias("row")).mapInArrow(run, schema)

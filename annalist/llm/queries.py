@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
+from annalist.llm import alignment, chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
 from annalist.llm.frames import id_hash, let, table
 from annalist.llm.oracles import SQL
 
@@ -166,3 +166,15 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    names = ["n_a", "n_b", "n_groups", "n_overlaps", "links", "groups"]
+    found = alignment.aligned(table(spark, folder, "documents").select("doc_id", "text"), *paths, names)
+    digest = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    rows = found.select(F.col("row.doc_id").alias("doc_id"), *names[:4], "links", digest.alias("groups_sha256"))
+    return alignment.scored(rows, *paths).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"
+    )

@@ -74,7 +74,7 @@ def word_spans(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return place[real], stop[real]
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: itself if it prints, else the next from U+0100 on."""
     prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(0x100, 0x200))
@@ -95,7 +95,7 @@ class Encoder:
             model = json.load(file)["model"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.words = BPE(vocab=model["vocab"], merges=pairs, cache_capacity=0)
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.most = most
         self._forget()
