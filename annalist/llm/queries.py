@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import alignment, chat, exact_dedup, jaccard_join, language_id, line_dedup, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
+from annalist.llm import alignment, chat, exact_dedup, jaccard_join, language_id, line_dedup, line_quality, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
 from annalist.llm.frames import id_hash, let, table
 from annalist.llm.oracles import SQL
 
@@ -178,3 +178,12 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.scored(rows, *paths).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"
     )
+
+
+@query
+def op13_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = line_quality.fit(documents, table(spark, folder, "labels"))
+    bad = F.filter("lines", lambda line: line["good"] < 0.5)
+    found = line_quality.score(documents, model).select(F.col("row.doc_id").alias("doc_id"), "score", F.size(bad).cast("long").alias("n_bad_lines"))
+    return found.select("doc_id", line_quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_bad_lines")
