@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annalist.llm.frames import stage, with_results
-from annalist.llm.tokens import byte_letters, encoder
+from annalist.llm.tokens import Encoder, byte_letters
 
 #: How pieces write a space.
 SPACE = "▁"
 #: Tables of links with at most this many rows (24 bytes each) are broadcast.
 BROADCAST_LINKS = 2_000_000
 _INTS = T.ArrayType(T.IntegerType())
+#: Texts worked on at once, in bytes, and words whose ids are kept.
+SLICE = 1 << 18
+WORDS = 250_000
 #: What :func:`aligned` can give for each text.
 RESULTS = {
     "n_a": T.LongType(),
@@ -144,7 +147,7 @@ class Pair:
     """Both tokenizers of this process, and the strings that write ids in groups."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.coder = encoder(path_a, specials=False)
+        self.coder = Encoder(path_a, WORDS, specials=False)
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         tokens_a, tokens_b = byte_level_tokens(path_a), piece_tokens(path_b)
         self.a, self.b = Spelling(tokens_a), Spelling(tokens_b)
@@ -236,7 +239,7 @@ def aligned(documents: DataFrame, path_a: str, path_b: str, names: list[str] | N
     """
     names = list(names or RESULTS)
     results = T.StructType([T.StructField(name, RESULTS[name]) for name in names])
-    return with_results(documents, text, results, (path_a, path_b, names), _per_slice)
+    return with_results(documents, text, results, (path_a, path_b, names), _per_slice, SLICE)
 
 
 def most_links(path_a: str, path_b: str) -> int:
@@ -261,7 +264,7 @@ def scored(alignments: DataFrame, path_a: str, path_b: str, column: str = "links
     ``alignments`` is written once, as counting and scoring both read it. The
     table of counts is broadcast if the vocabularies bound it; larger ones are joined.
     """
-    kept = stage(alignments.withColumn("_key", F.monotonically_increasing_id()), "alignments")
+    kept = stage(alignments.withColumn("_key", F.monotonically_increasing_id()), "alignments", row_group_mb=16)
     table = stage(link_counts(kept, column), "link-counts")
     if most_links(path_a, path_b) <= BROADCAST_LINKS:
         table = F.broadcast(table)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from annalist.llm.arrays import string_texts
+from annalist.llm.arrays import SLICE, string_texts
 from annalist.session import work_dir
 
 
@@ -16,10 +16,16 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the folder all executors share and read back: lineage ends there."""
+def stage(df: DataFrame, name: str, row_group_mb: int = 0) -> DataFrame:
+    """Write to the folder all executors share and read back: lineage ends there.
+
+    ``row_group_mb`` bounds what a writer and a reader hold of rows with long arrays.
+    """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write
+    if row_group_mb:
+        writer = writer.option("parquet.block.size", row_group_mb << 20)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -33,7 +39,7 @@ def id_hash(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-def with_results(documents: DataFrame, text: str, results: T.StructType, work, per_slice) -> DataFrame:
+def with_results(documents: DataFrame, text: str, results: T.StructType, work, per_slice, slice_bytes: int = SLICE) -> DataFrame:
     """``row`` (a struct of all columns as they came) next to result columns computed in Python.
 
     ``per_slice(texts, work)`` gives one list or array (numpy, Arrow) per field of
@@ -46,7 +52,7 @@ def with_results(documents: DataFrame, text: str, results: T.StructType, work, p
     def run(batches):
         for batch in batches:
             rows = batch.column(0)
-            for start, stop, texts in string_texts(rows.field(place)):
+            for start, stop, texts in string_texts(rows.field(place), slice_bytes):
                 arrays = [rows.slice(start, stop - start)]
                 for field, values in zip(results.fields, per_slice(texts, work), strict=True):
                     arrays.append(values if isinstance(values, pa.Array) else pa.array(values, to_arrow_type(field.dataType)))
