@@ -44,21 +44,17 @@ def html_lines(html: Column) -> Column:
 
 
 def _digests(lines: Column) -> Column:
-    """128 bits of each distinct line."""
-    return F.transform(F.array_distinct(lines), _digest)
-
-
-def _digest(line: Column) -> Column:
-    return F.unhex(F.md5(line.cast("binary")))
+    """128 bits of each line."""
+    return F.transform(lines, lambda line: F.unhex(F.md5(line.cast("binary"))))
 
 
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host, line`` (a digest) ``, pages, share`` of the lines that are boilerplate of their host.
 
-    ``pages`` has ``host`` and ``digests``, those of its distinct lines; every
-    row counts as a page.
+    ``pages`` has ``host`` and ``digests``, those of its lines; every row counts
+    as a page.
     """
-    each = pages.select("host", F.explode("digests").alias("line"))
+    each = pages.select("host", F.explode(F.array_distinct("digests")).alias("line"))
     often = each.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     share = F.col("pages") / F.col("total")
@@ -66,24 +62,25 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
 
 
 def without_boilerplate(
-    pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, url: str = "url", html: str = "html", ratio: float = RATIO, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
-    """One row per row: ``row`` (all columns as they came), ``host, lines, kept``.
+    """One row per row: ``row`` (all columns as they came but ``html``), ``host, lines, kept``.
 
     ``lines`` are the page's lines and ``kept`` those that are no boilerplate of
     its host, in order, repeats included. A page without lines keeps none; pages
     without a host form one site. Ids may be null or repeated.
 
-    Pages are parsed twice, which costs less than carrying their lines: counting
-    works on digests, and a page moves once, as it came, to meet its drops.
+    Pages are parsed once: their lines and digests are written to shared storage,
+    and lines, not pages, move to meet what is to drop.
     """
-    key = F.concat_ws("\n", F.coalesce(F.col(id_column).cast("string"), F.lit("null id")), host_of(F.col(url)))
-    digests = stage(pages.select(key.alias("key"), host_of(F.col(url)).alias("host"), _digests(html_lines(F.col(html))).alias("digests")), "page-lines")
-    found = boilerplate(digests, ratio, least_pages)
-    each = digests.select("key", "host", F.explode("digests").alias("line"))
+    rest = [F.col(f"`{c}`") for c in pages.columns if c != html]
+    parsed = pages.select(F.struct(*rest).alias("row"), host_of(F.col(f"`{url}`")).alias("host"), html_lines(F.col(f"`{html}`")).alias("lines"))
+    # Ids may repeat, so each row gets a number of its own, lasting as it is written.
+    staged = stage(parsed.select("*", _digests(F.col("lines")).alias("digests"), F.monotonically_increasing_id().alias("key")), "page-lines")
+    found = boilerplate(staged, ratio, least_pages)
+    each = staged.select("key", "host", F.explode(F.array_distinct("digests")).alias("line"))
     # Only lines to drop come back; a list is no longer than its page.
     drops = each.join(found.select("host", "line"), ["host", "line"]).groupBy("key").agg(F.collect_set("line").alias("drops"))
-    rows = pages.select(F.struct("*").alias("row"), key.alias("key")).join(drops, "key", "left")
-    parsed = rows.select("row", host_of(F.col("row")[url]).alias("host"), html_lines(F.col("row")[html]).alias("lines"), "drops")
-    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("drops"), _digest(x)))
-    return parsed.select("row", "host", "lines", F.when(F.col("drops").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
+    rows = staged.join(drops, "key", "left")
+    kept = F.filter("lines", lambda line, i: ~F.array_contains(F.col("drops"), F.get("digests", i)))
+    return rows.select("row", "host", "lines", F.when(F.col("drops").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
