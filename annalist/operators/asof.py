@@ -2,83 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.operators.chains import BROADCAST_KEYS, HOT_KEY_ROWS
+from annalist.operators.chains import HOT_KEY_ROWS, find_hot_keys
+
+
+def _micros(time: Column) -> Column:
+    return F.unix_micros(time.cast("timestamp"))
 
 
 def point_in_time(
-    facts: DataFrame,
-    versions: DataFrame,
-    keys: list[str],
-    time: str,
-    columns: list[str],
-    unit: str = "hour",
-    hot_limit: int = HOT_KEY_ROWS,
+    facts: DataFrame, versions: DataFrame, keys: list[str], time: str, columns: list[str], hot_limit: int = HOT_KEY_ROWS
 ) -> DataFrame:
     """Left join: each fact keeps its row and gets ``columns`` of the version in force.
 
-    Periods of one key must not overlap. Facts and versions are cut by key and
-    time ``unit`` and ordered together within each cut, where a fact takes the
-    last version before it: linear work, no pairs. The version in force when a
-    unit begins comes from a summary with one row per key and unit. So a key
-    with many facts or versions is spread over its units, and the ordered pass
-    over the summary is bounded by the units of the calendar. Units in which a
-    key still has more than ``hot_limit`` facts are cut further into slices,
-    each of which sees all the versions of the unit.
+    Periods of one key must not overlap. Facts and versions are ordered together
+    within their key, and a fact takes the last version before it: linear work, no
+    pairs. A key with more than ``hot_limit`` of both is cut into time ranges of
+    counted size, so that a burst is spread like the rest; what a range inherits,
+    the last version of the ranges before, comes from a summary of one row per
+    range. So no range sees versions of another. A fact without a time or with a
+    null in its key has no version in force and takes no part in the ordering.
     """
-    cell = [*keys, "_unit"]
+    whole = reduce(and_, [F.col(k).isNotNull() for k in [*keys, time]])
     known = list(dict.fromkeys([*columns, "valid_from", "valid_to"]))
-    starts = versions.dropna(subset=keys).select(
-        *keys,
-        F.date_trunc(unit, "valid_from").cast("timestamp_ntz").alias("_unit"),
-        F.struct(*known).alias("_state"),
-    )
-    rows = facts.withColumn("_unit", F.date_trunc(unit, F.col(time)).cast("timestamp_ntz"))
-    sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
-
-    timeline = (
-        starts.groupBy(*cell)
-        .agg(F.max_by("_state", "_state.valid_from").alias("_last"))
-        .unionByName(sizes.select(*cell, F.lit(True).alias("_asked")), allowMissingColumns=True)
-        .groupBy(*cell)
-        .agg(F.any_value("_last", ignoreNulls=True).alias("_last"), F.max("_asked").alias("_asked"))
+    begun = versions.dropna(subset=[*keys, "valid_from"]).select(
+        *keys, F.col("valid_from").cast("timestamp_ntz").alias("_time"), F.lit(1).alias("_kind"), F.struct(*known).alias("_state")
     )
-    earlier = Window.partitionBy(*keys).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        timeline.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
-        .filter("_asked")
-        .select(*cell, "_carried")
-    )
-
-    hot = sizes.filter(F.col("_rows") > hot_limit).select(
-        *cell, F.ceil(F.col("_rows") / F.lit(hot_limit)).cast("int").alias("_slices")
-    )
-    count = hot.count()
-    if count:
-        if count <= BROADCAST_KEYS:
-            hot = F.broadcast(hot)
-        # Copies of a fact spread by the partition they are read from.
-        placed = rows.withColumn("_place", F.xxhash64(*facts.columns, F.spark_partition_id()))
-        place = F.coalesce(F.pmod("_place", "_slices").cast("int"), F.lit(0))
-        rows = placed.join(hot, cell, "left").withColumn("_slice", place).drop("_slices", "_place")
-        every = F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
-        starts = starts.join(hot, cell, "left").withColumn("_slice", every).drop("_slices")
-        carried = carried.join(hot, cell, "left").withColumn("_slice", every).drop("_slices")
-        cell = [*cell, "_slice"]
-
-    ordered = Window.partitionBy(*cell).orderBy("_time", "_kind")
+    fact = F.struct(*facts.columns).alias("_fact")
+    asking = facts.filter(whole).select(*keys, F.col(time).cast("timestamp_ntz").alias("_time"), F.lit(2).alias("_kind"), fact)
+    rows = begun.unionByName(asking, allowMissingColumns=True).withColumn("_at", _micros(F.col("_time")))
+    hot = find_hot_keys(rows, keys, hot_limit)
+    cell = keys
+    if hot is not None:
+        cell = [*keys, "_range"]
+        rows = hot.mark(rows, "_at")
+        ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        inherited = (
+            rows.filter("_hot")
+            .groupBy(*cell)
+            .agg(F.max_by(F.when(F.col("_kind") == 1, F.col("_state")), F.when(F.col("_kind") == 1, F.col("_at"))).alias("_last"))
+            .withColumn("_state", F.last("_last", ignorenulls=True).over(ranges))
+            .select(*cell, F.lit(0).alias("_kind"), "_state")
+        )
+        rows = rows.drop("_hot").unionByName(inherited, allowMissingColumns=True)
+    # What a range inherits has no time and comes first.
+    ordered = Window.partitionBy(*cell).orderBy(F.col("_at").asc_nulls_first(), "_kind")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opening = carried.select(*cell, F.col("_unit").alias("_time"), F.lit(0).alias("_kind"), F.col("_carried").alias("_state"))
-    begun = starts.select(*cell, F.col("_state.valid_from").alias("_time"), F.lit(1).alias("_kind"), "_state")
-    asking = rows.select(*cell, F.col(time).cast("timestamp_ntz").alias("_time"), F.lit(2).alias("_kind"), F.struct(*facts.columns).alias("_fact"))
     state = F.last("_state", ignorenulls=True).over(so_far)
     in_force = F.col("_state.valid_to").isNull() | (F.col("_state.valid_to") > F.col("_time"))
-    return (
-        opening.unionByName(begun)
-        .unionByName(asking, allowMissingColumns=True)
-        .withColumn("_state", state)
+    found = (
+        rows.withColumn("_state", state)
         .filter("_kind = 2")
         .select("_fact.*", *[F.when(in_force, F.col(f"_state.{c}")).alias(c) for c in columns])
     )
+    types = dict(versions.dtypes)
+    lost = facts.filter(~whole).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in columns])
+    return found.unionAll(lost)

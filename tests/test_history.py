@@ -161,8 +161,8 @@ def test_types_merge(spark):
     assert sorted(tuple(r) for r in delta.collect()) == [("a", 1, "close"), ("a", 3, "open")]
 
 
-@pytest.mark.parametrize(("unit", "limit"), [("hour", 100), ("day", 5)])
-def test_point_in_time_equals_brute_force(spark, unit, limit):
+@pytest.mark.parametrize("limit", [100_000, 100, 5])
+def test_point_in_time_equals_brute_force(spark, limit):
     source = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     versions, facts = [], []
@@ -178,11 +178,13 @@ def test_point_in_time_equals_brute_force(spark, unit, limit):
     expected = sorted(
         (i, k, next((n for vk, n, s, e in versions if vk == k and s <= at and (e is None or e > at)), None))
         for i, k, at in facts
-    )
+    ) + [(600, 1, None), (601, None, None), (602, None, None)]
+    facts += [(600, 1, None), (601, None, base), (602, None, None)]
+    versions.append((None, "no key", base, None))
     v = spark.createDataFrame(versions, "k INT, name STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ")
     f = spark.createDataFrame(facts, "i INT, k INT, at TIMESTAMP_NTZ").repartition(3)
-    got = asof.point_in_time(f, v, ["k"], "at", ["name"], unit, limit).select("i", "k", "name").collect()
-    assert sorted(tuple(r) for r in got) == expected
+    got = asof.point_in_time(f, v, ["k"], "at", ["name"], limit).select("i", "k", "name").collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == expected
 
 
 def test_newest_per_key_and_hot_keys(spark):
@@ -204,3 +206,30 @@ def test_sparse_orders_give_few_ranges(spark):
     following = with_next(rows, ["key"], "at", hot)
     assert following.filter("key = 'a' AND _next = at + 60000000").count() == 19_999
     assert following.filter("_next IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("spread", [1, 1_000_000])
+def test_crowded_orders_are_cut_by_their_count(spark, spread):
+    """Nearly all rows of a key in 20 seconds, one far before them, and none without a range."""
+    crowd = spark.range(19_999).select(F.lit("a").alias("key"), (F.lit(1_700_000_000_000_000) + F.col("id") * (1000 // spread + 1)).alias("at"))
+    rows = crowd.union(spark.sql("SELECT 'a', 0L UNION ALL SELECT 'b', 5L")).union(
+        spark.range(5000).select(F.lit(None).cast("string"), F.col("id") * spread)
+    )
+    hot = chains.find_hot_keys(rows, ["key"], 1000)
+    assert hot.count == 2
+    marked = hot.mark(rows, "at")
+    assert marked.count() == rows.count()
+    sizes = marked.filter("_hot").groupBy("key", "_range").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).collect()
+    assert max(r["n"] for r in sizes) <= 1001 and len(sizes) <= 40
+    for key in ("a", None):
+        spans = sorted((r["_range"], r["low"], r["high"]) for r in sizes if r["key"] == key)
+        assert all(b[1] > a[2] for a, b in zip(spans[:-1], spans[1:], strict=True))
+    following = chains.with_next(rows, ["key"], "at", hot)
+    assert following.filter("_next IS NULL").count() == 3
+    assert following.filter("key = 'a' AND at > 0").agg(F.sum(F.col("_next") - F.col("at"))).first()[0] == 19_998 * (1000 // spread + 1)
+
+
+def test_rows_of_one_order_stay_in_one_range(spark):
+    rows = spark.range(3000).select(F.lit("a").alias("key"), F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).cast("long").alias("at"))
+    sizes = {r["_range"]: r["count"] for r in chains.find_hot_keys(rows, ["key"], 100).mark(rows, "at").groupBy("_range").count().collect()}
+    assert sorted(sizes.values())[-1] == 2000 and sorted(sizes.values())[-2] <= 101
