@@ -21,6 +21,24 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
 
 
+def marked(spark: SparkSession, path: str, marker: str) -> list[int]:
+    """Numbers ``n`` of the folders ``commit=n`` below ``path`` that hold ``marker``, by one listing."""
+    system, location = _path(spark, f"{path}/commit=*/{marker}")
+    depth = len(marker.split("/"))
+    names = []
+    for status in system.globStatus(location) or []:
+        folder = status.getPath()
+        for _ in range(depth):
+            folder = folder.getParent()
+        names.append(int(folder.getName().removeprefix("commit=")))
+    return sorted(names)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, location = _path(spark, path)
+    system.delete(location, True)
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Create an empty file; false if it is there already. Of two callers one wins, where the file system creates atomically."""
     system, location = _path(spark, path)

@@ -1,15 +1,22 @@
-"""Raw and processed areas in two partition layouts."""
+"""Raw and processed areas in two partition layouts.
+
+A batch writes the new content of the partitions it touches beside the old one, in
+folders ``commit=n`` of its own, and then a manifest that names the commit each
+partition is to be read from. The manifest's marker is the switch: a job that dies
+before it leaves the area as it was, and no folder is ever overwritten.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.chains import newest_per_key
-from annalist.sinks.files import exists
+from annalist.sinks.files import child_names, claim, marked
 
 REVISION_PARTS = ["source", "year", "month", "day"]
 COLLECTION_PARTS = ["date", "source"]
+MANIFEST = "_manifest"
 RAW_COLUMNS = ["source", "source_id", "revision_date", "collection_date", "text", "raw_metadata", "seq"]
 PROCESSED_COLUMNS = ["source", "source_id", "revision_date", "collection_date", "markdown", "seq"]
 
@@ -27,34 +34,55 @@ def by_collection(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.col("collection_date").cast("string"))
 
 
+def _in_force(spark: SparkSession, path: str, parts: list[str]) -> DataFrame | None:
+    """The commit each partition is read from, one row per partition; none before the first commit."""
+    commits = marked(spark, f"{path}/{MANIFEST}", "_SUCCESS")
+    if not commits:
+        return None
+    schema = ", ".join(f"{p} STRING" for p in parts)
+    return spark.read.schema(f"{schema}, commit INT").parquet(f"{path}/{MANIFEST}/commit={commits[-1]}")
+
+
 def read_area(like: DataFrame, path: str, parts: list[str]) -> DataFrame:
-    """Read an area with the columns of ``like``, partition values as text."""
+    """Read an area with the columns of ``like``, partition values as text.
+
+    The manifest, a row per partition, is joined on the partition columns, which
+    prunes the scan to the folders in force.
+    """
     schema = ", ".join(
         f"{f.name} {'STRING' if f.name in parts else f.dataType.simpleString()}" for f in like.schema.fields
     )
-    return like.sparkSession.read.schema(schema).parquet(path)
+    spark = like.sparkSession
+    held = _in_force(spark, path, parts)
+    if held is None:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(f"{schema}, commit INT").parquet(path)
+    return stored.join(held, [*parts, "commit"], "left_semi").drop("commit")
 
 
 def put(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
     """Write rows as objects: a row replaces the stored one with the same key.
 
-    Only partitions the batch touches are rewritten. Hot partitions are split
+    Only partitions the batch touches are written anew. Hot partitions are split
     over several files, small ones share a task.
     """
+    spark = df.sparkSession
     batch = newest_per_key(df, keys, ["seq"])
-    if exists(df.sparkSession, path):
-        stored = read_area(df, path, parts)
-        # One row per touched partition: days times sources.
-        touched = df.select(*parts).distinct()
-        kept = stored.join(touched, parts, "left_semi").join(df.select(*keys).distinct(), keys, "left_anti")
+    # One row per touched partition: days times sources.
+    touched = df.select(*parts).distinct()
+    held = _in_force(spark, path, parts)
+    if held is not None:
+        kept = read_area(df, path, parts).join(touched, parts, "left_semi").join(df.select(*keys).distinct(), keys, "left_anti")
         batch = batch.unionByName(kept)
-    (
-        batch.hint("rebalance", *parts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
+    number = max([int(n) for n in child_names(spark, f"{path}/{MANIFEST}/_claims") if n.isdigit()], default=0) + 1
+    if not claim(spark, f"{path}/{MANIFEST}/_claims/{number}"):
+        raise ValueError(f"commit {number} is being written by another job")
+    rows = batch.withColumn("commit", F.lit(number))
+    rows.hint("rebalance", *parts).write.mode("append").partitionBy(*parts, "commit").parquet(path)
+    now = touched.withColumn("commit", F.lit(number))
+    if held is not None:
+        now = now.unionByName(held.join(touched, parts, "left_anti"))
+    now.coalesce(1).write.parquet(f"{path}/{MANIFEST}/commit={number}")
 
 
 def save_dual(documents: DataFrame, root: str, columns: list[str]) -> None:

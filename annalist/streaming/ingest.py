@@ -63,7 +63,7 @@ def ingest_documents(
         textless = documents.filter(F.col("error").isNotNull()).select(*named, F.col("error").alias("reason"), F.lit(True).alias("stored"))
         lost.unionByName(textless).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
         stored = intake.history_batch(intake.measure(documents), run_time)
-        table.commit(history.merge(table.current(), stored, history.DOCUMENT, run_time), batch_id + 1)
+        table.commit(history.merge(table.current_for(stored), stored, history.DOCUMENT, run_time), batch_id + 1)
 
     return (
         stream.writeStream.foreachBatch(merge_batch)

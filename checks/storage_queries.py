@@ -96,7 +96,8 @@ def history_table(t: Tables) -> DataFrame:
     """Two merges through the stored table; the second reads the rows in force only."""
     table = HistoryTable(t.spark, work_dir(t.spark, "documents"), schemas.DOCUMENTS)
     for number, time in ((1, TIME_1), (2, TIME_2)):
-        table.commit(history.merge(table.current(), feed.batch(t, number), history.DOCUMENT, time))
+        batch = feed.batch(t, number)
+        table.commit(history.merge(table.current_for(batch), batch, history.DOCUMENT, time))
     return table.read().select(*DOCUMENT_COLUMNS)
 
 

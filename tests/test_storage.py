@@ -162,6 +162,56 @@ def test_history_table_commits(spark, tmp_path):
     assert sorted(r["entry_name"] for r in table.current().collect()) == ["d", "same"]
 
 
+def test_a_commit_writes_the_parts_it_touches(spark, tmp_path):
+    """1 % of the keys, sharing parts: under 5 % of the rows are written, and replaced parts can go."""
+    table = HistoryTable(spark, f"{tmp_path}/t", schemas.DICTIONARIES, parts=64)
+    entries = spark.range(5000).select(F.lit("s").alias("source"), F.lit("org").alias("dict_type"), F.col("id").cast("int").alias("entry_id"), F.lit("a").alias("entry_name"), F.col("id").alias("seq"))
+    table.commit(history.merge(table.current(), entries, history.DICTIONARY, "2026-01-01 00:00:00"))
+    few = entries.filter(table.part_of() == 7).filter("entry_id % 2 = 0").withColumn("entry_name", F.lit("b")).cache()
+    assert 25 <= few.count() <= 60
+    # Opened with another number of parts, the table keeps its own.
+    table = HistoryTable(spark, f"{tmp_path}/t", schemas.DICTIONARIES)
+    before = table.current_for(few)
+    assert before.count() < 150
+    table.commit(history.merge(before, few, history.DICTIONARY, "2026-01-02 00:00:00"))
+    written = spark.read.parquet(f"{tmp_path}/t/commit=2/is_current=true").count()
+    assert written == before.count() < 250
+    assert table.current().count() == 5000 and table.current().filter("entry_name = 'b'").count() == few.count()
+    assert table.read().count() == 5000 + few.count()
+    assert table.read(upto=1).filter("is_current AND entry_name = 'a'").count() == 5000
+    listed = table.remove_replaced()
+    assert [p.rsplit("/", 3)[1:] for p in listed] == [["commit=1", "is_current=true", "part=7"]] and table.read(upto=1).count() == 5000
+    table.remove_replaced(dry_run=False)
+    assert table.remove_replaced() == [] and table.current().count() == 5000 and table.read().count() == 5000 + few.count()
+
+
+def test_a_job_stopped_before_the_marker_changes_nothing(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/raw"
+    first = raw_rows(spark, ("1", "2026-01-05", "2026-02-01", "old"), ("2", "2026-01-05", "2026-02-01", "two"))
+    second = raw_rows(spark, ("1", "2026-01-05", "2026-02-02", "new"))
+    layout.put(layout.by_revision(first), root, layout.REVISION_PARTS, ["source", "source_id", "year", "month", "day"])
+
+    def texts():
+        area = layout.read_area(layout.by_revision(first), root, layout.REVISION_PARTS)
+        return sorted((r["source_id"], r["text"]) for r in area.collect())
+
+    class Stopped(Exception):
+        pass
+
+    def stop(self, *args):
+        raise Stopped
+
+    put = lambda: layout.put(layout.by_revision(second), root, layout.REVISION_PARTS, ["source", "source_id", "year", "month", "day"])
+    with monkeypatch.context() as patch, pytest.raises(Stopped):
+        # The rows are written; the manifest is not.
+        patch.setattr(type(spark.range(1)), "coalesce", stop)
+        put()
+    assert len(list((tmp_path / "raw").rglob("commit=2/part-*"))) == 1
+    assert texts() == [("1", "old"), ("2", "two")]
+    put()
+    assert texts() == [("1", "new"), ("2", "two")]
+
+
 def land(path, records, texts):
     put_file(path / "dictionaries/stan.txt", "5\tЧинний\r\n".encode("cp1251"))
     put_file(path / "manifests/status.json", json.dumps({"item": [{"link": "stan.txt"}]}))
@@ -214,7 +264,8 @@ def test_two_days(spark, tmp_path):
     assert (runs["run2_s"]["documents_new"], runs["run2_s"]["documents_updated"], runs["run2_s"]["documents_unchanged"], runs["run2_s"]["status"]) == (1, 2, 1, "success")
     assert store.snapshot_register().count() == 2
 
-    processed = spark.read.parquet(f"{store.processed}/by_revision").filter("source_id = '1'")
+    like = spark.createDataFrame([], "source STRING, source_id STRING, revision_date DATE, collection_date DATE, markdown STRING, seq LONG, year STRING, month STRING, day STRING")
+    processed = layout.read_area(like, f"{store.processed}/by_revision", layout.REVISION_PARTS).filter("source_id = '1'")
     parsed = {r["body"]: r for r in parse_markdown(processed).collect()}
     assert sorted(parsed) == ["one\n\nmore\n", "one, again\n"]
     assert parsed["one, again\n"]["head_types"] == [95, 6]
