@@ -108,6 +108,18 @@ def worklist(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("change").isNull() | (F.col("change") != "unchanged"))
 
 
+def listed_only(classified: DataFrame, current: DataFrame, tracked: list[str]) -> DataFrame:
+    """Listed documents that are not to be fetched, with the measures stored for them.
+
+    ``moved`` says that a tracked column, such as the title, differs from the
+    stored version although the date is the same: the text is to be rendered anew.
+    """
+    stored = current.select("source", "source_id", F.col("content_hash").alias("_hash"), "has_text", "text_length", "word_count")
+    moved = V.content_hash(*[F.col(c) for c in tracked]) != F.col("_hash")
+    rows = classified.filter(F.col("change") == "unchanged").join(stored, ["source", "source_id"])
+    return rows.withColumn("moved", moved).drop("_hash")
+
+
 def worklist_metrics(classified: DataFrame, by: list[str] | None = None) -> DataFrame:
     return classified.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("total"),

@@ -110,14 +110,13 @@ def run_day(
     skip_existing: bool = True,
     max_documents: int = 0,
     min_text_length: int = quality.MIN_TEXT_LENGTH,
-    whole_list: bool = True,
 ) -> RunResult:
     """Dictionaries, list, worklist, texts, cleaning, history, checks, report.
 
-    With ``whole_list`` every listed document is rendered again from the raw
-    area and merged, so a changed title or status is seen even if the date did
-    not move. Without it only the worklist is, and the raw area is not read:
-    the choice where the corpus is large and the daily change is small.
+    Texts are read, rendered and written for the worklist, and for listed documents
+    whose title or status moved while their date did not: these are taken from the
+    raw area, by their partitions. All other documents are merged by the measures
+    stored for them, so the texts a day handles follow its change.
 
     All times are given, none is taken from the clock, so a rerun is equal.
     """
@@ -150,25 +149,34 @@ def run_day(
     failed = intake.failures(fetched)
     artefacts.write_artefact(failed, store.temp, day, run_id, "failed_documents")
 
-    # Cleaning and measures in one pass over the texts.
+    # Documents whose text is known from an earlier day: only what moved is rendered again.
+    rest = store.stage(intake.listed_only(classified, document_table.current(), history.DOCUMENT.tracked), run_id, "listed_only")
+    again = rest.filter(F.col("moved") & F.col("has_text"))
+    columns_of = classified.columns
     raw_path = f"{store.raw}/by_revision"
-    if whole_list and exists(spark, raw_path):
-        like = layout.by_revision(fetched.select(*layout.RAW_COLUMNS))
-        area = layout.read_area(like, raw_path, layout.REVISION_PARTS).filter(F.col("source") == reader.name)
-        texts = area.select("source", "source_id", "revision_date", "text")
-        known = documents.join(texts, ["source", "source_id", "revision_date"], "left")
-    else:
-        known = fetched
+    like = layout.by_revision(fetched.select(*layout.RAW_COLUMNS))
+    area = layout.read_area(like, raw_path, layout.REVISION_PARTS).filter(F.col("source") == reader.name)
+    # A text that was not fetched may be there from an earlier run of the same revision.
+    wanted = fetched.filter(F.col("text").isNull()).select(*columns_of).unionByName(again.select(*columns_of))
+    at = ["source", "source_id", "year", "month", "day"]
+    stored_texts = layout.by_revision(wanted).join(area.select(*at, "text"), at, "left").select(*columns_of, "text")
+
+    # Cleaning and measures in one pass over the texts.
+    known = fetched.filter(F.col("text").isNotNull()).select(*columns_of, "text").unionByName(stored_texts)
     rendered = store.stage(intake.render(known), run_id, "rendered")
     layout.save_processed(rendered, store.processed)
+    kept = rest.filter(~(F.col("moved") & F.col("has_text"))).withColumn("outcome", F.when(F.col("has_text"), "success").otherwise("skipped"))
+    narrow = [c for c in rendered.columns if c not in ("text", "markdown")]
+    measured = rendered.select(*narrow).unionByName(kept.select(*narrow))
 
     # History of documents and types.
-    batch = intake.history_batch(rendered, started_at)
-    before = document_table.current()
+    batch = intake.history_batch(measured, started_at)
+    before = document_table.current_for(batch)
     actions = store.stage(history.merge_actions(before, batch, history.DOCUMENT), run_id, "actions")
     merged = store.stage(history.merge(before, batch, history.DOCUMENT, started_at), run_id, "merged")
     document_table.commit(merged)
-    type_table.commit(doctypes.merge_types(type_table.current(), doctypes.listed_types(merged), started_at))
+    types = doctypes.listed_types(merged)
+    type_table.commit(doctypes.merge_types(type_table.current_for(types), types, started_at))
 
     # Ledger, checks and report read the committed tables.
     live = document_table.current()
@@ -184,7 +192,7 @@ def run_day(
     return RunResult(
         worklist=intake.saved_share(intake.worklist_metrics(classified, ["source"])),
         fetch=intake.fetch_metrics(fetched, ["source"]),
-        transform=intake.render_metrics(rendered, ["source"]),
+        transform=intake.render_metrics(measured, ["source"]),
         actions=history.action_counts(actions, ["source"]),
         quality=scores,
         report=report,

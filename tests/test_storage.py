@@ -311,18 +311,28 @@ def test_a_commit_number_is_claimed_once(spark, tmp_path):
     assert table.commit(rows) == 2 and table.commits() == [2] and table.current().count() == 1
 
 
-def test_worklist_only(spark, tmp_path):
+def test_a_day_costs_its_change(spark, tmp_path):
     store = Store(spark, f"{tmp_path}/store")
-    land(tmp_path / "day1", [record(1), record(2)], {1: "one", 2: "two"})
-    land(tmp_path / "day2", [record(1, poddat=20260201), record(2, nazva="New title")], {1: "one, again"})
-    for day in (1, 2):
-        reader = get_source("landing_zone", "s", path=f"{tmp_path}/day{day}")
-        result = run_day(reader, store, f"run{day}", f"2026-02-0{day} 00:00:00", f"2026-02-0{day} 00:10:00", whole_list=False)
-    # The second title is not seen, as its date did not move.
-    assert tuple(result.actions.first()) == ("s", 0, 1, 0)
-    assert tuple(result.transform.first()) == ("s", 1, 1, 0, 0)
-    live = {r["source_id"]: (r["title"], r["text_length"]) for r in store.read("documents").filter("is_current").collect()}
-    assert live == {"1": ("Title 1", 10), "2": ("Title 2", 3)}
+    land(tmp_path / "day1", [record(1), record(2), record(3)], {1: "one", 2: "two", 3: "three"})
+    land(tmp_path / "day3", [record(1, poddat=20260201), record(2, nazva="New title"), record(3)], {1: "one, again"})
+    results = []
+    for day, landed in ((1, 1), (2, 1), (3, 3)):
+        reader = get_source("landing_zone", "s", path=f"{tmp_path}/day{landed}")
+        results.append(run_day(reader, store, f"run{day}", f"2026-02-0{day} 00:00:00", f"2026-02-0{day} 00:10:00"))
+    # Nothing changed on the second day: no text is rendered or written, and all documents are still counted.
+    assert [tuple(r.actions.first()) for r in results] == [("s", 3, 0, 0), ("s", 0, 0, 3), ("s", 0, 2, 1)]
+    assert [tuple(r.transform.first()) for r in results] == [("s", 3, 3, 0, 0)] * 3
+
+    def texts(number, area):
+        """The rows a commit wrote into an area."""
+        found = [str(p) for p in (tmp_path / "store" / area).rglob(f"commit={number}/part-*") if "_manifest" not in p.parts]
+        return spark.read.schema("source_id STRING, text STRING, markdown STRING").parquet(*found).collect() if found else []
+
+    assert texts(2, "raw/by_revision") == texts(2, "processed/by_revision") == texts(2, "processed/by_collection") == []
+    # A title that moved is seen, and its text rendered from the raw area.
+    assert sorted((r["source_id"], "New title" in r["markdown"]) for r in texts(3, "processed/by_collection")) == [("1", False), ("2", True)]
+    live = {r["source_id"]: (r["title"], r["text_length"], r["word_count"]) for r in store.read("documents").filter("is_current").collect()}
+    assert live == {"1": ("Title 1", 10, 2), "2": ("New title", 3, 1), "3": ("Title 3", 5, 1)}
 
 
 def test_stream_ingest(spark, tmp_path):
