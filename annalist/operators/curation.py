@@ -24,6 +24,8 @@ IQR_FACTOR = 1.5
 
 # Most trigrams of a model that is sent to all tasks, some 50 bytes each.
 BROADCAST_TRIGRAMS = 500_000
+# Lists of ids up to this length (8 bytes each) go to the texts, longer ones meet them in a shuffle.
+BROADCAST_IDS = 5_000_000
 
 # Frequent words by language.
 PROFILES = {
@@ -153,6 +155,12 @@ def quality_flags(
     return joined.select(key, F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in reasons])).alias("quality_flag"))
 
 
+def of_ids(texts: DataFrame, ids: DataFrame, key: str, small: int = BROADCAST_IDS) -> DataFrame:
+    """The rows whose ``key`` is listed in ``ids``. Texts stay where they are unless the list is too long to send."""
+    listed = ids.filter(F.col(key).isNotNull()).distinct()
+    return texts.join(F.broadcast(listed) if listed.limit(small + 1).count() <= small else listed, key, "left_semi")
+
+
 def perplexity_in_range(perplexity: Column, most: float = MAX_PERPLEXITY) -> Column:
     """Whether a perplexity is at most ``most``; a text without one, as it has no trigram, passes."""
     return F.coalesce(perplexity <= most, F.lit(True))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annalist.functions.paths import TEXT_SUFFIX
 from annalist.operators.chains import newest_per_key
 from annalist.sinks.files import child_names, claim, marked
 
@@ -77,7 +78,8 @@ def put(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
     number = max([int(n) for n in child_names(spark, f"{path}/{MANIFEST}/_claims") if n.isdigit()], default=0) + 1
     if not claim(spark, f"{path}/{MANIFEST}/_claims/{number}"):
         raise ValueError(f"commit {number} is being written by another job")
-    rows = batch.withColumn("commit", F.lit(number))
+    content = next(c for c in ("text", "markdown") if c in df.columns)
+    rows = batch.withColumn("n_bytes", F.octet_length(content).cast("long")).withColumn("commit", F.lit(number))
     rows.hint("rebalance", *parts).write.mode("append").partitionBy(*parts, "commit").parquet(path)
     now = touched.withColumn("commit", F.lit(number))
     if held is not None:
@@ -96,6 +98,22 @@ def save_dual(documents: DataFrame, root: str, columns: list[str]) -> None:
     put(by_collection(rows), f"{root}/by_collection", COLLECTION_PARTS, ["source", "source_id", "date"])
 
 
+def inventory(spark: SparkSession, root: str, suffix: str = TEXT_SUFFIX) -> DataFrame:
+    """``path, length`` of every object in both layouts below ``root``, as :func:`list_objects` gives them.
+
+    The sink keeps each object's size beside its content, so this reads two narrow
+    columns and lists no objects; it is as large as the area and stays distributed.
+    """
+    found = []
+    for area, parts in (("by_revision", REVISION_PARTS), ("by_collection", COLLECTION_PARTS)):
+        names = list(dict.fromkeys(["source", "source_id", *parts]))
+        like = spark.createDataFrame([], ", ".join(f"{n} STRING" for n in names) + ", n_bytes BIGINT")
+        folders = [F.concat(F.lit(f"{p}="), F.col(p)) for p in parts]
+        path = F.concat_ws("/", F.lit(area), *folders, F.concat("source_id", F.lit(suffix)))
+        found.append(read_area(like, f"{root}/{area}", parts).select(path.alias("path"), F.col("n_bytes").alias("length")))
+    return found[0].unionByName(found[1])
+
+
 def save_raw(documents: DataFrame, root: str) -> None:
     save_dual(documents.filter(F.col("text").isNotNull()), root, RAW_COLUMNS)
 

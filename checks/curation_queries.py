@@ -111,18 +111,20 @@ def quality_flags(t: Tables) -> DataFrame:
       SELECT trigram, ln((n + 1)::DOUBLE / (of_pair + (SELECT count(DISTINCT substr(trigram, 3, 1)) FROM total) + 1)) AS log_p
       FROM total JOIN pairs ON pair = substr(trigram, 1, 2)
     )
-    SELECT doc_id, round(exp(-sum(n * coalesce(log_p, (SELECT min(log_p) FROM model))) / sum(n)), 4) AS perplexity
-    FROM c LEFT JOIN model USING (trigram) GROUP BY doc_id
+    SELECT d.doc_id, p.perplexity FROM documents d LEFT JOIN (
+      SELECT doc_id, round(exp(-sum(n * coalesce(log_p, (SELECT min(log_p) FROM model))) / sum(n)), 4) AS perplexity
+      FROM c LEFT JOIN model USING (trigram) GROUP BY doc_id
+    ) AS p ON p.doc_id = d.doc_id
     """,
 )
 def trigram_perplexity(t: Tables) -> DataFrame:
-    """Of texts with a trigram, as its SQL has no others; ``perplexity_filter`` has all."""
-    return scores(t).filter(F.col("perplexity").isNotNull()).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+    """A row for every document; null where there is no trigram."""
+    return scores(t).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
 
 
 def scores(t: Tables) -> DataFrame:
     """Perplexities under a model of the labelled good texts."""
-    good = t.texts.select("doc_id", "text").join(t.labels.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    good = curation.of_ids(t.texts.select("doc_id", "text"), t.labels.filter("quality = 1").select("doc_id"), "doc_id")
     counts = curation.trigram_counts(curation.trigrams(good))
     path = work_dir(t.spark, "trigrams")
     counts.write.parquet(path)
@@ -137,5 +139,5 @@ def scores(t: Tables) -> DataFrame:
 )
 def perplexity_filter(t: Tables) -> DataFrame:
     """A row for every document, also for those without a trigram."""
-    found = t.documents.select("doc_id").join(scores(t), "doc_id", "left").select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+    found = scores(t).select("doc_id", F.round("perplexity", 4).alias("perplexity"))
     return found.select("*", curation.perplexity_in_range(F.col("perplexity")).alias("kept"))

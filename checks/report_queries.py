@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from annalist import schemas
 from annalist.operators import doctypes, history, intake, ledger, quality, retention, snapshots, stats
 from annalist.session import work_dir
-from annalist.sinks import artefacts
-from annalist.sources import landing
+from annalist.sinks import artefacts, layout
 from checks import feed
 from checks.feed import DAY_1, DAY_2, TIME_1, TIME_2, with_feed
 from checks.history_queries import _TYPES_1, types_1
@@ -212,17 +211,19 @@ def table_counts(t: Tables) -> DataFrame:
 
 @query(
     "storage_footprint",
-    """SELECT area, count(*) AS files, sum(strlen(text) + 1)::BIGINT AS bytes
-    FROM benchmark, (SELECT unnest(['by_revision', 'by_collection']) AS area) WHERE text IS NOT NULL GROUP BY area""",
+    with_feed(
+        """SELECT area, count(*) AS files, sum(strlen(text))::BIGINT AS bytes
+        FROM canon1, (SELECT unnest(['by_revision', 'by_collection']) AS area) WHERE reject_reason IS NULL AND text IS NOT NULL GROUP BY area"""
+    ),
 )
 def storage_footprint(t: Tables) -> DataFrame:
-    """One real object per benchmark item in both areas, listed as they are stored."""
+    """Every document with a text in both layouts, by the sizes the sink keeps."""
     root = work_dir(t.spark, "footprint")
-    for area in ("by_revision", "by_collection"):
-        items = t.benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
-        items.repartition("item_id").write.partitionBy("item_id").text(f"{root}/{area}")
-    objects = landing.list_objects(t.spark, root)
-    return stats.storage_footprint(objects.filter(F.col("path").endswith(".txt")))
+    rows = feed.documents(t, 1).select(*layout.RAW_COLUMNS)
+    path = work_dir(t.spark, "fetched")
+    rows.write.parquet(path)
+    layout.save_raw(t.spark.read.parquet(path), root)
+    return stats.storage_footprint(layout.inventory(t.spark, root))
 
 
 # --- ledger -----------------------------------------------------------------

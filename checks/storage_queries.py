@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist import schemas
+from annalist.functions.paths import document_paths
 from annalist.operators import history, intake, snapshots
 from annalist.session import work_dir
 from annalist.sinks import artefacts, layout
@@ -152,21 +153,22 @@ def dictionary_reader(t: Tables) -> DataFrame:
 
 @query(
     "object_exists",
-    """SELECT 'item' AS kind, item_id AS id, text IS NOT NULL AND item_id % 3 <> 0 AS exists FROM benchmark
-    UNION ALL SELECT 'page', page_id, false FROM pages""",
+    with_feed(
+        """SELECT 'by_revision' AS kind, source_id AS id, text IS NOT NULL AS exists FROM canon1 WHERE reject_reason IS NULL
+        UNION ALL SELECT 'by_collection', source_id, text IS NOT NULL FROM canon1 WHERE reject_reason IS NULL
+        UNION ALL SELECT 'page', cast(page_id AS VARCHAR), false FROM pages"""
+    ),
 )
 def object_exists(t: Tables) -> DataFrame:
-    """Two thirds of the benchmark items are stored, an object each; asked for is each item and page."""
-    root = work_dir(t.spark, "objects")
-    stored = t.benchmark.filter(F.col("text").isNotNull() & (F.col("item_id") % 3 != 0))
-    stored.select("item_id", "text").repartition("item_id").write.partitionBy("item_id").text(root)
-    objects = landing.list_objects(t.spark, root).filter(F.col("path").endswith(".txt"))
-    objects = objects.select(F.regexp_replace("path", r"/[^/]*$", ".txt").alias("path"))
-    asked = t.benchmark.select(F.lit("item").alias("kind"), F.col("item_id").alias("id")).unionByName(
-        t.pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"))
-    )
-    name = F.concat("kind", F.lit("_id="), "id", F.lit(".txt"))
-    return landing.object_exists(asked.withColumn("object", name), objects, "object").select("kind", "id", "exists")
+    """Every listed document is asked for in both layouts of the raw area, which holds those with a text; and each page, which it never holds."""
+    root = work_dir(t.spark, "raw")
+    documents = feed.documents(t, 1)
+    layout.save_raw(stored(t, documents.select(*layout.RAW_COLUMNS), "fetched"), root)
+    paths = document_paths(F.col("source"), F.col("source_id"), F.col("revision_date"), F.col("collection_date"))
+    asked = [documents.select(F.lit(f"by_{k}").alias("kind"), F.col("source_id").alias("id"), paths[f"raw_path_{k}"].alias("object")) for k in ("revision", "collection")]
+    pages = t.pages.select(F.lit("page").alias("kind"), F.col("page_id").cast("string").alias("id"), F.concat(F.lit("pages/"), "page_id", F.lit(".txt")).alias("object"))
+    everything = asked[0].unionByName(asked[1]).unionByName(pages)
+    return landing.object_exists(everything, layout.inventory(t.spark, root), "object").select("kind", "id", "exists")
 
 
 @query("export_csv", with_feed("SELECT source, dict_type, cast(entry_id AS VARCHAR) AS entry_id, entry_name FROM dicthist WHERE is_current"))

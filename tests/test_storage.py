@@ -369,3 +369,16 @@ def test_artefacts(spark, tmp_path):
     artefacts.export_csv(df, f"{tmp_path}/csv")
     assert tuple(spark.read.option("header", True).csv(f"{tmp_path}/csv").first()) == ("a", None, "[1]")
     assert retention.RETENTION_DAYS == 7
+
+
+def test_the_inventory_names_every_object(spark, tmp_path):
+    rows = raw_rows(spark, ("1", "2026-01-05", "2026-02-01", "é"), ("2", "2025-01-05", "2026-02-01", ""), ("3", "2026-01-05", "2026-02-01", None))
+    assert layout.inventory(spark, str(tmp_path)).isEmpty()
+    layout.save_raw(rows, str(tmp_path))
+    layout.save_raw(raw_rows(spark, ("1", "2026-01-05", "2026-02-01", "longer")), str(tmp_path))
+    assert sorted(map(tuple, layout.inventory(spark, str(tmp_path)).collect())) == [
+        ("by_collection/date=2026-02-01/source=s/1.txt", 6),
+        ("by_collection/date=2026-02-01/source=s/2.txt", 0),
+        ("by_revision/source=s/year=2025/month=01/day=05/2.txt", 0),
+        ("by_revision/source=s/year=2026/month=01/day=05/1.txt", 6),
+    ]
