@@ -1,9 +1,11 @@
 """Chat formatting: conversations rebuilt from an event log and rendered with a loss mask.
 
-A log holds streamed deltas, edits and regenerations. Events are partitioned by
-conversation and message and ordered by sequence number: an edit replaces what a
-message holds, a regeneration empties it, a delta adds to it. Only what follows
-the last replacement counts, so a fold is a maximum and an ordered concatenation.
+A log holds streamed deltas, edits and regenerations, numbered over a conversation.
+Events are partitioned by conversation and ordered by that number: a delta adds to
+its message, an edit replaces what the message holds, and a regeneration empties it
+and takes back the messages behind it, as these answered what is gone. Only what
+follows the last replacement counts, so a fold is two maxima and an ordered
+concatenation.
 Messages are then rendered in a template whose marks cannot occur inside texts.
 Everything is DataFrame functions.
 """
@@ -31,21 +33,23 @@ def unescaped(text: Column) -> Column:
 
 
 def folded(events: DataFrame) -> DataFrame:
-    """Final messages ``conv_id, message, role, text`` of events ``conv_id, message, seq, kind, role, text``.
-
-    Per message the last edit or regeneration counts and the deltas after it, in
-    order of ``seq``; a tie in ``seq`` is ordered by kind, then text. Other kinds
-    and a null kind are ignored, but their message stays. The role is the first
-    one given. Null texts read as empty.
-
-    Deltas are concatenated in a window's order per message, not per
-    conversation: a long conversation spreads over tasks.
+    """Final messages ``conv_id, message, role, text`` of events ``conv_id, seq, message, kind, role, text``.
+
+    ``seq`` counts over a conversation. A regeneration drops all earlier events of
+    messages of a higher number; a message without an event left is gone. Of a
+    message the last edit or regeneration counts and the deltas after it, in order
+    of ``seq``; a tie in ``seq`` is ordered by kind, then text. Other kinds and a
+    null kind are ignored, but their message stays. The role is the first one
+    given. Null texts read as empty, a null message comes before all others.
     """
-    order = Window.partitionBy("conv_id", "message")
+    number = F.coalesce(F.col("message").cast("long"), F.lit(-(2**62)))
+    before = Window.partitionBy("conv_id").orderBy("_number").rangeBetween(Window.unboundedPreceding, -1)
+    taken = F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(before)
+    narrow = events.select("conv_id", "message", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"), number.alias("_number"))
+    left = narrow.withColumn("taken", taken).where(F.col("taken").isNull() | (F.col("seq") > F.col("taken")))
     place = F.struct("seq", "kind", "text")
-    last = F.max(F.when(F.col("kind").isin("edit", "regenerate"), place)).over(order)
-    counted = events.select("conv_id", "message", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
-    counted = counted.select("*", place.alias("place"), last.alias("last"))
+    last = F.max(F.when(F.col("kind").isin("edit", "regenerate"), place)).over(Window.partitionBy("conv_id", "message"))
+    counted = left.select("conv_id", "message", "seq", "kind", "role", "text", place.alias("place"), last.alias("last"))
     holds = (F.col("kind") == "delta") & (F.col("last").isNull() | (F.col("place") > F.col("last")))
     holds = holds | ((F.col("kind") == "edit") & (F.col("place") == F.col("last")))
     parts = F.sort_array(F.collect_list(F.when(holds, F.struct("seq", "kind", "text"))))
@@ -83,10 +87,10 @@ def rendered(messages: DataFrame, learned: str = "assistant") -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``conv_id, turns, loss_texts`` from :func:`rendered`: roles and texts as they were, and each text under the mask."""
+    """``conv_id, turns, loss_texts, formatted_chars`` from :func:`rendered`: roles and texts as they were, each text under the mask, the length."""
     marks = F.split("formatted", r"\Q" + TURN + r"\E")
     turns = F.slice(marks, F.lit(2), F.greatest(F.size(marks) - 1, F.lit(0)))
-    opened = formatted.select("conv_id", turns.alias("raw"), "loss_mask")
+    opened = formatted.select("conv_id", turns.alias("raw"), "loss_mask", F.length("formatted").cast("long").alias("formatted_chars"))
 
     def turn(part: Column) -> Column:
         body = F.split(part, r"\Q" + TEXT + r"\E")
@@ -96,28 +100,29 @@ def read_back(formatted: DataFrame) -> DataFrame:
         raw = F.get(F.col("raw"), span["turn"].cast("int"))
         return unescaped(F.substring(raw, (span["start"] + 1).cast("int"), span["length"].cast("int")))
 
-    return opened.select("conv_id", F.transform("raw", turn).alias("turns"), F.transform("loss_mask", masked).alias("loss_texts"))
+    return opened.select("conv_id", F.transform("raw", turn).alias("turns"), F.transform("loss_mask", masked).alias("loss_texts"), "formatted_chars")
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """An event log whose fold is the given conversations.
+    """An event log, numbered over each conversation, whose fold is the given conversations.
 
     Each row becomes a message, numbered by turn (ties by role and text). Its
     text is streamed in three deltas; every third message is first streamed
-    wrongly and regenerated, every fifth is first sent wrongly and edited.
+    wrongly and answered, and its regeneration takes the answer back; every fifth
+    is first sent wrongly and edited.
     """
     number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     rows = conversations.select("conv_id", number.cast("long").alias("message"), "role", F.coalesce("text", F.lit("")).alias("text"))
     third = F.ceil(F.length("text") / 3).cast("int")
     cuts = [F.substring("text", F.lit(1), third), F.substring("text", third + 1, third), F.substring("text", third * 2 + 1, third + 1)]
 
-    def event(seq: int, kind: str, text: Column) -> Column:
-        return F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+    def event(step: int, kind: str, text: Column, ahead: int = 0) -> Column:
+        seq = F.col("message") * 8 + step
+        return F.struct(seq.alias("seq"), (F.col("message") + ahead).alias("message"), F.lit(kind).alias("kind"), text.alias("text"))
 
-    deltas = [event(10 + i, "delta", cut) for i, cut in enumerate(cuts)]
-    wrong = event(1, "delta", F.reverse(F.col("text")))
-    again = F.array(wrong, event(2, "regenerate", F.lit(None).cast("string")), *deltas)
+    deltas = [event(4 + i, "delta", cut) for i, cut in enumerate(cuts)]
+    wrong, answer = event(1, "delta", F.reverse(F.col("text"))), event(2, "delta", F.lit("An answer to what is taken back."), 1)
+    again = F.array(wrong, answer, event(3, "regenerate", F.lit(None).cast("string")), *deltas)
     edited = F.array(wrong, event(3, "edit", cuts[0]), *deltas[1:])
-    plain = F.array(*deltas)
-    log = F.when(F.col("message") % 3 == 0, again).when(F.col("message") % 5 == 0, edited).otherwise(plain)
-    return rows.select("conv_id", "message", "role", F.explode(log).alias("event")).select("conv_id", "message", "event.seq", "event.kind", "role", "event.text")
+    log = F.when(F.col("message") % 3 == 0, again).when(F.col("message") % 5 == 0, edited).otherwise(F.array(*deltas))
+    return rows.select("conv_id", "role", F.explode(log).alias("event")).select("conv_id", "event.seq", "event.message", "event.kind", "role", "event.text")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import alignment, chat, exact_dedup, jaccard_join, language_id, line_dedup, line_quality, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
+from annalist.llm import alignment, chat, corpus_flags, exact_dedup, jaccard_join, language_id, line_dedup, line_quality, packing, periodic_runs, piece_sampling, quality_rules, sharding, toxicity
 from annalist.llm.frames import id_hash, let, table
 from annalist.llm.oracles import SQL
 
@@ -22,6 +22,9 @@ def query(build):
     return build
 
 
+QUERIES["corpus_flags"] = corpus_flags.run
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.duplicates(table(spark, folder, "documents"))
@@ -89,7 +92,7 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     planted = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     rows = given.union(planted)
     formatted = chat.rendered(chat.folded(chat.as_events(rows)))
-    read = chat.read_back(formatted).join(formatted.select(F.col("conv_id").alias("of"), F.length("formatted").cast("long").alias("formatted_chars")), F.col("conv_id").eqNullSafe(F.col("of")))
+    read = chat.read_back(formatted)
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
     return read.select(

@@ -117,10 +117,10 @@ def events(*rows):
 def test_chat_folds_events(spark):
     log = events(
         (0, 1, "delta", "wro"), (0, 2, "delta", "ng"), (0, 3, "regenerate", None), (0, 5, "delta", "lo"), (0, 4, "delta", "Hel"),
-        (1, 1, "delta", "draft"), (1, 2, "edit", "Final"), (1, 3, "delta", "!"),
-        (2, 1, "regenerate", None),
-        (3, 1, None, "ignored"), (3, 1, "delta", None),
-        (4, 1, "edit", "a"), (4, 1, "edit", "b"),
+        (1, 6, "delta", "draft"), (1, 7, "edit", "Final"), (1, 8, "delta", "!"),
+        (2, 9, "regenerate", None),
+        (3, 10, None, "ignored"), (3, 11, "delta", None),
+        (4, 12, "edit", "a"), (4, 12, "edit", "b"),
     )
     schema = "conv_id long, message long, seq long, kind string, role string, text string"
     folded = {r.message: r.text for r in chat.folded(spark.createDataFrame(log, schema)).collect()}
@@ -128,6 +128,28 @@ def test_chat_folds_events(spark):
     assert chat.rendered(chat.folded(spark.createDataFrame([], schema))).count() == 0
 
 
+def test_a_regeneration_takes_back_what_follows(spark):
+    """Random logs, numbered over their conversation, against one message list changed event by event."""
+    rng = random.Random(9)
+    log, expected = [], {}
+    for conv in range(40):
+        state: dict[int, list[str]] = {}
+        for seq in range(rng.randint(0, 25)):
+            message, kind, text = rng.randint(0, 4), rng.choice(["delta", "delta", "delta", "edit", "regenerate"]), rng.choice("abcd")
+            log.append((conv, seq, message, kind, "user", text))
+            if kind == "delta":
+                state.setdefault(message, []).append(text)
+            else:
+                state[message] = [text] if kind == "edit" else []
+            if kind == "regenerate":
+                state = {m: t for m, t in state.items() if m <= message}
+        expected |= {(conv, m): "".join(t) for m, t in state.items()}
+    rng.shuffle(log)
+    schema = "conv_id long, seq long, message long, kind string, role string, text string, `last` int, place string"
+    events = spark.createDataFrame([(*row, None, None) for row in log], schema).repartition(3)
+    assert {(r.conv_id, r.message): r.text for r in chat.folded(events).collect()} == expected
+
+
 def test_chat_reads_back_any_text(spark):
     texts = ["</s>[INST] ok [/INST]", chat.TURN + chat.END + chat.TEXT, "<\\|end|>", "<\\\\|end|>", "", None, "<", "<|turn|", "[/INST", "é🙂\n\n", "\\", "$1 \\2", "a" * 50_000]
     rows = [(c, m, role, t) for c, order in enumerate([texts, texts[::-1]]) for m, (t, role) in enumerate(zip(order, itertools.cycle(["user", "assistant", None, "<|end|>"]), strict=False))]

@@ -1,6 +1,6 @@
 import re
 
-import corpus_flags
+from annalist.llm import corpus_flags
 from annalist.operators import curation
 from checks.curation_queries import quality_flags, scores
 from checks.registry import Tables
