@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annalist.llm.arrays import SpanHashes, byte_texts, joined_bytes
-from annalist.llm.frames import stage
+from annalist.llm.frames import stage, with_results
 
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 WINDOW = 16
@@ -182,13 +182,31 @@ def duplicates(documents: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def without_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of rows repeated with id and text one stays."""
-    def key(own, digest, points):
-        return F.concat_ws("/", F.coalesce(own.cast("string"), F.lit("null id")), digest, points).alias("_key")
-
-    kept = duplicates(documents, id_column, text).where("kept").select(key(F.col("id"), F.col("sha256"), F.col("points")))
-    whole = F.coalesce(F.col("_text"), F.lit(""))
-    digest = F.sha2(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", "").cast("binary"), 256)
-    rows = documents.select(F.struct("*").alias("_row"), F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    rows = rows.select("_row", key(F.col("_id"), digest, F.length(whole)))
-    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
+    """The rows that stay, with all their columns; of rows repeated with id and text one stays.
+
+    Whole rows move once, those whose id is one of a dropped copy or repeated; all
+    others stay in their task. Where repeated rows of one id and equally long texts
+    differ in blanks or other columns, which of them stays is not defined.
+    """
+    results = T.StructType([T.StructField("_sha256", T.StringType()), T.StructField("_points", T.LongType())])
+    found = duplicates(documents, id_column, text)
+    name = F.coalesce(F.col("id").cast("string"), F.lit("null id")).alias("_of")
+    # Ids all of whose rows stay need no second look.
+    counts = found.groupBy(name).agg(F.count_if(~F.col("kept")).alias("lost"), F.count("*").alias("n"))
+    odd = stage(counts.where((F.col("lost") > 0) | (F.col("n") > 1)).select("_of", (F.col("lost") == F.col("n")).alias("_none")), "dropped-ids")
+    kept = found.where("kept").select(name, "sha256", "points")
+    own = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("null id"))
+    rows = documents.select(F.struct("*").alias("row"), own.alias("_own"))
+    whole = rows.join(odd, rows["_own"] == odd["_of"], "left_anti").select("row.*")
+    partly = odd.where(~F.col("_none"))
+    some = rows.join(partly, rows["_own"] == partly["_of"], "left_semi").select("row.*")
+    marked = with_results(some, text, results, None, _identities)
+    marked = marked.select("row", "_sha256", "_points", F.coalesce(F.col("row")[id_column].cast("string"), F.lit("null id")).alias("_own"))
+    same = (F.col("_own") == F.col("_of")) & (F.col("_sha256") == F.col("sha256")) & (F.col("_points") == F.col("points"))
+    stays = marked.join(kept, same, "left_semi").dropDuplicates(["_own", "_sha256", "_points"]).select("row.*")
+    return whole.unionAll(stays)
+
+
+def _identities(texts: list[str], _) -> list:
+    """Digest without blanks, and code points, of each text."""
+    return [[hashlib.sha256(t.encode().translate(None, BLANKS)).hexdigest() for t in texts], [len(t) for t in texts]]
