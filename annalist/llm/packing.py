@@ -96,7 +96,7 @@ def _places(patterns: list[tuple[list[int], int]]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "rank", "sequence", "offset"]).astype("int64").sort_values(["length", "rank"], ignore_index=True)
 
 
-def _pieces(path: str, capacity: int, end_id: int):
+def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches):
         ranks: Counter = Counter()
         task, coder = TaskContext.get().partitionId(), encoder(path)
@@ -110,7 +110,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                     cut = [0, *range(len(tokens) % capacity or capacity, len(tokens) + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
                         owner.append(start + i)
-                        rows.append((piece, a, b - a, zlib.crc32(tokens[a:b].tobytes()), tokens[a:b], task, ranks[b - a]))
+                        rows.append((piece, a, b - a, zlib.crc32(tokens[a:b].tobytes()), tokens[a:b] if with_ids else tokens[:0], task, ranks[b - a]))
                         ranks[b - a] += 1
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -118,7 +118,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                         ids.take(pa.array(owner, pa.int64())),
                         pa.array(columns[0], pa.int32()),
                         *(pa.array(c, pa.int64()) for c in columns[1:4]),
-                        pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32), pa.array(np.concatenate(columns[4]).astype(np.int32))),
+                        pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in columns[4]]))).astype(np.int32), pa.array(np.concatenate(columns[4]).astype(np.int32))),
                         pa.array(columns[5], pa.int32()),
                         pa.array(columns[6], pa.int64()),
                     ],
@@ -128,11 +128,14 @@ def _pieces(path: str, capacity: int, end_id: int):
     return run
 
 
-def pieces(documents: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    documents: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True
+) -> DataFrame:
     """Token pieces: ``id, piece, start, length, crc32, ids``, and the task and place among its pieces of one length.
 
     A text's ids by ``tokenizers`` and ``end_id``; a null text has that alone.
     Only lists over ``capacity`` are cut, into full pieces but for the first.
+    ``ids`` is empty unless asked for.
     """
     schema = T.StructType(
         [
@@ -144,7 +147,7 @@ def pieces(documents: DataFrame, path: str, id_column: str = "doc_id", text: str
             T.StructField("place", T.LongType()),
         ]
     )
-    return documents.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(_pieces(path, capacity, end_id), schema)
+    return documents.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(_pieces(path, capacity, end_id, with_ids), schema)
 
 
 def _placed(places: pd.DataFrame, capacity: int):
@@ -176,7 +179,7 @@ def packed(
     sequence is over ``capacity``. Rows may repeat and ids may be null; each
     row's pieces are placed on their own. An empty table gives no rows.
     """
-    cut = stage(pieces(documents, path, id_column, text, capacity, end_id), "pieces")
+    cut = stage(pieces(documents, path, id_column, text, capacity, end_id, with_ids), "pieces")
     per_task = stage(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
     # At most one row per length reaches the driver.
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -190,6 +193,11 @@ def packed(
 
 
 def sequences(placed: DataFrame) -> DataFrame:
-    """``sequence_id, input_ids`` from :func:`packed` with ids: one row per sequence, bounded by its capacity."""
-    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
-    return placed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("input_ids"))
+    """``sequence_id, pieces, input_ids`` from :func:`packed` with ids: one row per sequence, bounded by its capacity.
+
+    ``pieces`` says where each piece lies: ``offset, id, piece, start, length``.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("offset", "id", "piece", "start", "length", "ids")))
+    own = F.transform("parts", lambda p: F.struct(p["offset"].alias("offset"), p["id"].alias("id"), p["piece"].alias("piece"), p["start"].alias("start"), p["length"].alias("length")))
+    ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
+    return placed.groupBy("sequence_id").agg(parts.alias("parts")).select("sequence_id", own.alias("pieces"), ids.alias("input_ids"))

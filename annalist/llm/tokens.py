@@ -88,7 +88,7 @@ class Encoder:
     token, as the library does; else it is text like any other.
     """
 
-    def __init__(self, path: str, most: int = 800_000, specials: bool = True):
+    def __init__(self, path: str, most: int = 400_000, specials: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         # The word model alone, without the cache that words seen once would only churn.
         with open(path, encoding="utf-8") as file:
