@@ -28,9 +28,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their ids, each at its place in a sequence of 1024 tokens."""
-    placed = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
+    """The pieces of all documents with their ids, each at its place in a training sequence of 1024 ids.
+
+    ``packing.sequences`` joins the pieces of a sequence into one row.
+    """
+    placed = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    return placed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset", F.col("ids").alias("input_ids")
+    )
 
 
 STAGES = [

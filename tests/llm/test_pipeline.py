@@ -1,8 +1,6 @@
 """The pipeline against a row-by-row model of its stages."""
 
 import re
-from collections import Counter
-
 import duckdb
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -47,13 +45,30 @@ def test_pipeline_equals_a_model(spark):
                 root[q] = p
     expected = [k for k in left if find(k) == k]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    lengths = {k: len(tokenizer.encode(texts[k], add_special_tokens=False).ids) + 1 for k in expected}
-    found = Counter()
+    ids = {k: [*tokenizer.encode(texts[k], add_special_tokens=False).ids, 2] for k in expected}
+    found, sequences = {}, {}
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     for r in rows:
-        found[r.doc_id] += r.length
-    assert found == lengths
-    assert len({r.sequence_id for r in rows}) <= 1.02 * -(-sum(lengths.values()) // 1024) + 1
+        found.setdefault(r.doc_id, {})[r.start] = r.input_ids
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert len(r.input_ids) == r.length
+    assert {k: [x for _, part in sorted(parts.items()) for x in part] for k, parts in found.items()} == ids
+    for places in sequences.values():
+        places.sort()
+        assert [at for at, _ in places] == [sum(n for _, n in places[:i]) for i in range(len(places))]
+        assert sum(n for _, n in places) <= 1024
+    assert len(sequences) <= 1.02 * -(-sum(map(len, ids.values())) // 1024) + 1
+
+
+def test_odd_tables_pass_all_stages(spark):
+    """Nulls, empty and repeated rows, and an empty table."""
+    schema = table(spark, FOLDER, "documents").schema
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "s", 0), (2, "A text.", None, None, 7), (2, "A text.", None, None, 7)], schema)
+    for docs in (odd, odd.limit(0)):
+        for _, function in corpus_pipeline.STAGES:
+            docs = function(spark, docs, FOLDER)
+        assert docs.count() == 0
+    assert corpus_pipeline.drop_copies(spark, odd, FOLDER).count() == 2
 
 
 def test_stages_keep_the_columns(spark):
