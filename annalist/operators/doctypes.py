@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.operators.history import at
@@ -13,20 +13,33 @@ def listed_types(merged: DataFrame) -> DataFrame:
     return merged.select("version_id", "type_ids").filter(F.size("type_ids") > 0)
 
 
+def _compared(current: DataFrame, listed: DataFrame) -> DataFrame:
+    """One row per (version, type) in force or listed: ``_stored``, ``_wanted`` and ``_listed``, whether the version is listed.
+
+    Rows in force and listed types are stacked and shuffled once, by version;
+    marking a version's rows and bringing equal types together both use that order.
+    """
+    stored = current.filter("is_current").select(
+        "version_id", "type_id", "valid_from", "created_at", F.lit(True).alias("_stored"), F.lit(False).alias("_wanted")
+    )
+    wanted = listed.select(
+        "version_id", F.explode(F.array_distinct("type_ids")).alias("type_id"), F.lit(False).alias("_stored"), F.lit(True).alias("_wanted")
+    )
+    stacked = stored.unionByName(wanted, allowMissingColumns=True)
+    return (
+        stacked.withColumn("_listed", F.max("_wanted").over(Window.partitionBy("version_id")))
+        .groupBy("version_id", "type_id")
+        .agg(*[F.max(c).alias(c) for c in ("valid_from", "created_at", "_stored", "_wanted", "_listed")])
+    )
+
+
 def type_delta(current: DataFrame, listed: DataFrame) -> DataFrame:
     """Types to open and types to close, one row each (``change`` = open or close).
 
     Only versions in ``listed`` are compared; others keep their types.
     """
-    stored = current.filter("is_current").select("version_id", "type_id")
-    wanted = listed.select("version_id", F.explode(F.array_distinct("type_ids")).alias("type_id"))
-    added = wanted.join(stored, ["version_id", "type_id"], "left_anti")
-    removed = (
-        stored.join(listed.select("version_id", "type_ids"), "version_id")
-        .filter(~F.array_contains("type_ids", F.col("type_id")))
-        .select("version_id", "type_id")
-    )
-    return added.withColumn("change", F.lit("open")).unionByName(removed.withColumn("change", F.lit("close")))
+    change = F.when(~F.col("_stored"), "open").when(F.col("_listed") & ~F.col("_wanted"), "close")
+    return _compared(current, listed).select("version_id", "type_id", change.alias("change")).filter(F.col("change").isNotNull())
 
 
 def merge_types(current: DataFrame, listed: DataFrame, run_time: str | Column) -> DataFrame:
@@ -37,26 +50,15 @@ def merge_types(current: DataFrame, listed: DataFrame, run_time: str | Column) -
     moved on to a newer version. :func:`current_types` hides those.
     """
     now = at(run_time)
-    wanted = listed.select("version_id", F.explode(F.array_distinct("type_ids")).alias("type_id"))
-    stored = current.filter("is_current")
-    dropped = F.col("type_ids").isNotNull() & ~F.array_contains("type_ids", F.col("type_id"))
-    kept = stored.join(listed.select("version_id", "type_ids"), "version_id", "left").select(
+    dropped = F.col("_listed") & ~F.col("_wanted")
+    return _compared(current, listed).select(
         "version_id",
         "type_id",
-        "valid_from",
+        F.coalesce("valid_from", now).alias("valid_from"),
         F.when(dropped, now).alias("valid_to"),
-        F.coalesce(~dropped, F.lit(True)).alias("is_current"),
-        "created_at",
-    )
-    added = wanted.join(stored.select("version_id", "type_id"), ["version_id", "type_id"], "left_anti").select(
-        "version_id",
-        "type_id",
-        now.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        now.alias("created_at"),
+        (~dropped).alias("is_current"),
+        F.coalesce("created_at", now).alias("created_at"),
     )
-    return kept.unionByName(added)
 
 
 def current_types(types: DataFrame, documents: DataFrame) -> DataFrame:

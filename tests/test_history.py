@@ -157,6 +157,8 @@ def test_types_merge(spark):
     assert state(first) == [("a", 1, True), ("a", 2, True), ("b", 1, True)]
     second = doctypes.merge_types(first, doctypes.listed_types(listed(("a", [2, 3]), ("b", []))), T2)
     assert state(second) == [("a", 1, False), ("a", 2, True), ("a", 3, True), ("b", 1, True)]
+    # An empty list leaves its version alone, too, if it was not taken out before.
+    assert state(doctypes.merge_types(first, listed(("a", [2, 3]), ("b", []), ("d", None)), T2)) == state(second)
     delta = doctypes.type_delta(first, listed(("a", [2, 3])))
     assert sorted(tuple(r) for r in delta.collect()) == [("a", 1, "close"), ("a", 3, "open")]
 
