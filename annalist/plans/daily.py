@@ -9,6 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from annalist.sinks.tables import HistoryTable
 from annalist.sources.landing import list_objects
 from annalist.sources.registry import SourceReader
 
+# Characters of an error that a report keeps.
+ERROR_CHARS = 500
 
 HISTORIES = {
     "dictionaries": schemas.DICTIONARIES,
@@ -101,6 +105,23 @@ def collect_dictionaries(reader: SourceReader, store: Store, run_id: str, run_ti
     return history.action_counts(actions, ["source", "dict_type"])
 
 
+def classify_or_take_all(
+    store: Store, documents: DataFrame, table: HistoryTable, skip_existing: bool, run_id: str
+) -> tuple[DataFrame, str | None]:
+    """The documents with their ``change``, staged, and what went wrong.
+
+    If the history cannot be read, be it a manifest when the plan is built or a file
+    when it runs, the whole list is taken, and the error is returned to be reported.
+    """
+    if skip_existing:
+        try:
+            stored = history.current_state(table.current())
+            return store.stage(intake.classify(documents, stored), run_id, "classified"), None
+        except (PySparkException, Py4JError) as error:
+            return store.stage(intake.classify(documents, None), run_id, "classified"), f"{type(error).__name__}: {error}"[:ERROR_CHARS]
+    return store.stage(intake.classify(documents, None), run_id, "classified"), None
+
+
 def run_day(
     reader: SourceReader,
     store: Store,
@@ -118,6 +139,11 @@ def run_day(
     raw area, by their partitions. All other documents are merged by the measures
     stored for them, so the texts a day handles follow its change.
 
+    A history that cannot be read switches filtering off: the whole list is fetched and
+    the error stands in the filter report, the metrics and the report. Texts are saved
+    before the merge, which needs the history and fails if it still cannot be read;
+    its commits stay as they were.
+
     All times are given, none is taken from the clock, so a rerun is equal.
     """
     spark, day = store.spark, started_at[:10]
@@ -139,9 +165,11 @@ def run_day(
     left_out = store.stage(reader.pages_left_out(spark), run_id, "pages_left_out")
     artefacts.write_artefact(left_out, store.temp, day, run_id, "pages_left_out")
     documents = intake.accepted(canonical)
-    stored = history.current_state(document_table.current())
-    classified = store.stage(intake.classify(documents, stored, skip_existing), run_id, "classified")
+    classified, error = classify_or_take_all(store, documents, document_table, skip_existing, run_id)
     artefacts.write_artefact(artefacts.filter_report(classified), store.temp, day, run_id, "filter_documents")
+    metrics = intake.saved_share(intake.worklist_metrics(classified, ["source"]))
+    filtering = artefacts.filter_summary(metrics, run_id, started_at, error)
+    artefacts.write_artefact(filtering, store.temp, day, run_id, "filter_report")
 
     # Texts of the worklist go to the raw area, failures to the artefacts.
     fetched = store.stage(intake.attach_texts(intake.worklist(classified), reader.texts(spark)), run_id, "fetched")
@@ -150,7 +178,8 @@ def run_day(
     artefacts.write_artefact(failed, store.temp, day, run_id, "failed_documents")
 
     # Documents whose text is known from an earlier day: only what moved is rendered again.
-    rest = store.stage(intake.listed_only(classified, document_table.current(), history.DOCUMENT.tracked), run_id, "listed_only")
+    live = document_table.current() if error is None else spark.createDataFrame([], schemas.DOCUMENTS)
+    rest = store.stage(intake.listed_only(classified, live, history.DOCUMENT.tracked), run_id, "listed_only")
     again = rest.filter(F.col("moved") & F.col("has_text"))
     columns_of = classified.columns
     raw_path = f"{store.raw}/by_revision"
@@ -186,11 +215,11 @@ def run_day(
     checked = quality.flag_documents(live, statuses, min_text_length)
     scores = quality.quality_score(quality.check_counts(checked, ["source"]))
     statistics = stats.corpus_statistics(live, ["source"])
-    report = artefacts.collection_report(run, statistics, completed_at, left_out)
+    report = artefacts.collection_report(run, statistics, completed_at, left_out, filtering)
     artefacts.write_artefact(report, store.temp, day, run_id, "report")
 
     return RunResult(
-        worklist=intake.saved_share(intake.worklist_metrics(classified, ["source"])),
+        worklist=metrics.withColumn("error", F.lit(error).cast("string")),
         fetch=intake.fetch_metrics(fetched, ["source"]),
         transform=intake.render_metrics(measured, ["source"]),
         actions=history.action_counts(actions, ["source"]),

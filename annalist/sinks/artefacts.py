@@ -28,11 +28,14 @@ def write_snapshot(snapshot: DataFrame, root: str) -> str:
     return path
 
 
-def collection_report(run: DataFrame, statistics: DataFrame, created_at: str, left_out: DataFrame | None = None) -> DataFrame:
+def collection_report(
+    run: DataFrame, statistics: DataFrame, created_at: str, left_out: DataFrame | None = None, filtering: DataFrame | None = None
+) -> DataFrame:
     """One nested JSON document per run; run and statistics hold one row per source.
 
     With ``left_out``, pages of the list that do not count, the report has their
     number, that of their records, and that of pages whose records are unknown.
+    ``filtering`` holds one :func:`filter_summary` row per source.
     """
     joined = run.drop("total_text_length", "total_word_count", "documents_with_text").join(statistics, "source", "left")
     counts = [c for c in run.columns if c.startswith("documents_") and c != "documents_with_text"]
@@ -42,6 +45,9 @@ def collection_report(run: DataFrame, statistics: DataFrame, created_at: str, le
         of_pages = {"pages": F.count(F.lit(1)), "records": F.sum("records"), "unreadable_pages": F.count_if(F.col("records").isNull())}
         joined = joined.join(left_out.groupBy("source").agg(*[c.alias(f"_{name}") for name, c in of_pages.items()]), "source", "left")
         extra = [F.struct(*[F.coalesce(f"_{name}", F.lit(0)).cast("long").alias(name) for name in of_pages]).alias("left_out")]
+    if filtering is not None:
+        joined = joined.join(filtering.select("source", F.col("metrics").alias("_filtering")), "source", "left")
+        extra.append(F.col("_filtering").alias("filtering"))
     return joined.select(
         "run_id",
         "source",
@@ -65,6 +71,17 @@ def filter_report(classified: DataFrame) -> DataFrame:
     return classified.filter(kept).select("source", "source_id", "change")
 
 
+def filter_summary(metrics: DataFrame, run_id: str, created_at: str, error: str | None = None) -> DataFrame:
+    """Run, source, time and the worklist metrics of the source, with the error that switched filtering off."""
+    numbers = [c for c in metrics.columns if c != "source"]
+    return metrics.select(
+        F.lit(run_id).alias("run_id"),
+        "source",
+        F.lit(created_at).alias("timestamp"),
+        F.struct(*numbers, F.lit(error).cast("string").alias("error")).alias("metrics"),
+    )
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """CSV with a header; arrays become text."""
     columns = [

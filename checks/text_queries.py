@@ -11,7 +11,7 @@ from annalist.functions.paths import document_paths
 from annalist.operators import history, intake
 from annalist.sources import landing, markdown
 from checks import feed
-from checks.feed import sql_clean, sql_day, sql_hash, sql_ids, sql_words, with_feed
+from checks.feed import TIME_2, sql_clean, sql_day, sql_hash, sql_ids, sql_words, with_feed
 from checks.registry import Tables, once, query
 
 
@@ -308,6 +308,24 @@ def filter_report(t: Tables) -> DataFrame:
     return report(classified(t))
 
 
+@query(
+    "filter_summary",
+    with_feed(
+        f"""SELECT 'run-2' AS run_id, source, '{TIME_2}' AS timestamp, total, fetched, saved_percent, true AS filter_enabled, CAST(NULL AS VARCHAR) AS error
+        FROM (SELECT source, count(*) AS total, count_if(change <> 'unchanged')::BIGINT AS fetched,
+          round(count_if(change = 'unchanged') / count(*) * 100, 2) AS saved_percent FROM ({_CLASSIFIED}) AS c GROUP BY source) AS m"""
+    ),
+)
+def filter_summary(t: Tables) -> DataFrame:
+    from annalist.sinks.artefacts import filter_summary as summary
+
+    metrics = intake.saved_share(intake.worklist_metrics(classified(t), ["source"]))
+    fetched = (F.col("metrics.new") + F.col("metrics.changed")).alias("fetched")
+    return summary(metrics, "run-2", TIME_2).select(
+        "run_id", "source", "timestamp", "metrics.total", fetched, "metrics.saved_percent", "metrics.filter_enabled", "metrics.error"
+    )
+
+
 @query(
     "not_stored",
     with_feed(

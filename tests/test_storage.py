@@ -230,7 +230,7 @@ def test_two_days(spark, tmp_path):
         {1: " one  \n\n\n\nmore ", 2: "two", 3: "three"},
     )
     first = run_day(get_source("landing_zone", "s", path=f"{tmp_path}/day1"), store, "run1", "2026-02-01 00:00:00", "2026-02-01 00:10:00", min_text_length=4)
-    assert first.worklist.first().asDict() == {"source": "s", "total": 4, "new": 4, "changed": 0, "unchanged": 0, "skipped": 0, "filter_enabled": True, "saved_percent": 0.0}
+    assert first.worklist.first().asDict() == {"source": "s", "total": 4, "new": 4, "changed": 0, "unchanged": 0, "skipped": 0, "filter_enabled": True, "saved_percent": 0.0, "error": None}
     assert tuple(first.fetch.first()) == ("s", 4, 3, 1)
     assert tuple(first.transform.first()) == ("s", 4, 3, 1, 0)
     assert [r["source_id"] for r in first.first_failures.collect()] == ["4"]
@@ -335,6 +335,56 @@ def test_a_day_costs_its_change(spark, tmp_path):
     assert live == {"1": ("Title 1", 10, 2), "2": ("New title", 3, 1), "3": ("Title 3", 5, 1)}
 
 
+def filter_reports(spark, store, day, run):
+    return spark.read.json(f"{store.temp}/date={day}/run_id={run}/task_filter_report").collect()
+
+
+def test_a_history_that_fails_once_takes_the_whole_list(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"{tmp_path}/store")
+    land(tmp_path / "day", [record(1), record(2)], {1: "one", 2: "two"})
+    reader = get_source("landing_zone", "s", path=f"{tmp_path}/day")
+    run_day(reader, store, "run1", "2026-02-01 00:00:00", "2026-02-01 00:10:00")
+    read, failed = HistoryTable.current, []
+
+    def once(table, only=None):
+        if table.path.endswith("documents/source=s") and not failed:
+            failed.append(table.path)
+            return spark.read.schema(table.schema).parquet(f"{tmp_path}/nowhere")
+        return read(table, only)
+
+    monkeypatch.setattr(HistoryTable, "current", once)
+    result = run_day(reader, store, "run2", "2026-02-02 00:00:00", "2026-02-02 00:10:00")
+    metrics = result.worklist.first()
+    assert failed and (metrics["total"], metrics["unchanged"], metrics["filter_enabled"]) == (2, 0, False)
+    assert "nowhere" in metrics["error"] and "nowhere" in result.report.first()["filtering"]["error"]
+    noted = filter_reports(spark, store, "2026-02-02", "run2")
+    assert [(r["run_id"], r["source"], r["metrics"]["error"]) for r in noted] == [("run2", "s", metrics["error"])]
+    assert tuple(result.fetch.first()) == ("s", 2, 2, 0)
+    # Both were fetched again and found equal: the history goes on as if nothing had happened.
+    assert tuple(result.actions.first()) == ("s", 0, 0, 2)
+    assert store.read("documents").count() == 2
+
+
+def test_a_damaged_commit_takes_the_whole_list(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    land(tmp_path / "day1", [record(1), record(2)], {1: "one", 2: "two"})
+    land(tmp_path / "day2", [record(1), record(2), record(3)], {1: "one", 2: "two", 3: "three"})
+    run_day(get_source("landing_zone", "s", path=f"{tmp_path}/day1"), store, "run1", "2026-02-01 00:00:00", "2026-02-01 00:10:00")
+    table = store.table("documents", "s")
+    for path in (tmp_path / "store/tables/documents/source=s/commit=1/is_current=true").rglob("*.parquet"):
+        path.write_bytes(b"no table")
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    # The merge needs what is lost, so the run fails there; what it fetched and why it took all is kept.
+    with pytest.raises(Exception, match="(?i)parquet"):
+        run_day(get_source("landing_zone", "s", path=f"{tmp_path}/day2"), store, "run2", "2026-02-02 00:00:00", "2026-02-02 00:10:00")
+    assert table.commits() == [1]
+    noted = filter_reports(spark, store, "2026-02-02", "run2")[0]["metrics"]
+    assert (noted["total"], noted["filter_enabled"]) == (3, False) and noted["error"]
+    kept = spark.read.json(f"{store.temp}/date=2026-02-02/run_id=run2/task_filter_documents").collect()
+    assert sorted(r["source_id"] for r in kept) == ["1", "2", "3"]
+    assert sorted(r["source_id"] for r in spark.read.parquet(f"{store.root}/staging/run_id=run2/rendered").collect()) == ["1", "2", "3"]
+
+
 def test_stream_ingest(spark, tmp_path):
     schema = f"source STRING, seq LONG, {schemas.LIST_RECORD}, text STRING, landed_at TIMESTAMP_NTZ"
     table = HistoryTable(spark, f"{tmp_path}/table", schemas.DOCUMENTS)
