@@ -6,7 +6,9 @@ statistics over the corpus are counted on narrow rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,12 @@ BROADCAST_TRIGRAMS = 500_000
 # Lists of ids up to this length (8 bytes each) go to the texts, longer ones meet them in a shuffle.
 BROADCAST_IDS = 5_000_000
 
-# Frequent words by language.
+# Each language is a column of the profiles.
+MOST_LANGUAGES = 200
+# Factors on mean log probabilities that calibration chooses from.
+SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
+
+# Frequent words by language, for texts without labels to learn from.
 PROFILES = {
     "de": "der die das und in den von zu mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach".split(),
     "en": "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which".split(),
@@ -84,6 +91,112 @@ def language(text: Column, profiles: Mapping[str, Sequence[str]] = PROFILES) ->
     return F.transform(F.array(hits), best).getItem(0)
 
 
+def held_back(key: Column) -> Column:
+    """Whether a document calibrates the language profiles and so takes no part in learning them: 3 of 16, by a hash of its key."""
+    return F.substring(F.md5(key.cast("string").cast("binary")), 1, 1).isin("0", "1", "2")
+
+
+@dataclass(frozen=True)
+class LanguageProfiles:
+    """Character trigrams of each language: ``trigram`` and a column of log probabilities per language, in the order of ``languages``.
+
+    ``unseen`` are the log probabilities of a trigram no profile holds,
+    ``sharpness`` turns mean log probabilities into calibrated ones.
+    """
+
+    languages: list[str]
+    table: DataFrame
+    unseen: list[float]
+    sharpness: float = 1.0
+
+    def columns(self) -> list[str]:
+        return [f"_p{i}" for i in range(len(self.languages))]
+
+
+def profile_counts(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang, trigram, n`` over the whole texts that are labelled and not held back."""
+    learned = documents.filter(F.col(lang).isNotNull() & ~held_back(F.col(key)))
+    places = trigrams(learned, lang, text).filter(F.col("trigram").isNotNull())
+    return places.groupBy(F.col(lang).alias("lang"), "trigram").agg(F.count(F.lit(1)).alias("n"))
+
+
+def language_profiles(counts: DataFrame, most_languages: int = MOST_LANGUAGES) -> LanguageProfiles:
+    """Add-one smoothed profiles from :func:`profile_counts`, which are read several times: write them first.
+
+    More than ``most_languages`` languages are an error, as each is a column.
+    """
+    totals = sorted(counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(most_languages + 1).collect())
+    if len(totals) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
+    if not totals:
+        return LanguageProfiles([], counts.select("trigram"), [])
+    trigrams_known = counts.select(F.count_distinct("trigram")).first()[0]
+    sizes = [r["n"] + trigrams_known for r in totals]
+    profiles = LanguageProfiles([r["lang"] for r in totals], counts, [-math.log(size) for size in sizes])
+    seen = [F.coalesce(F.sum(F.when(F.col("lang") == name, F.col("n"))), F.lit(0)) for name in profiles.languages]
+    log_p = [F.log((n + 1) / size).alias(c) for n, size, c in zip(seen, sizes, profiles.columns(), strict=True)]
+    return replace(profiles, table=counts.groupBy("trigram").agg(*log_p))
+
+
+def language_scores(documents: DataFrame, profiles: LanguageProfiles, key: str = "doc_id", text: str = "text", small: int = BROADCAST_TRIGRAMS) -> DataFrame:
+    """``key, scores``: the mean log probability of the whole text's trigrams under each profile.
+
+    Null for a text without a trigram and without profiles. As with perplexities,
+    places meet a broadcast table of bounded size and collapse before a shuffle.
+    """
+    if not profiles.languages:
+        return documents.select(key, F.lit(None).cast("array<double>").alias("scores"))
+    known = F.broadcast(profiles.table) if profiles.table.limit(small + 1).count() <= small else profiles.table
+    joined = trigrams(documents, key, text).join(known, "trigram", "left")
+    means = [
+        F.avg(F.when(F.col("trigram").isNotNull(), F.coalesce(F.col(c), F.lit(low)))).alias(c)
+        for c, low in zip(profiles.columns(), profiles.unseen, strict=True)
+    ]
+    found = joined.groupBy(key).agg(*means)
+    first = F.col(profiles.columns()[0])
+    return found.select(key, F.when(first.isNotNull(), F.array(*profiles.columns())).alias("scores"))
+
+
+def _shares(scores: Column, sharpness: float) -> Column:
+    """Log shares of the languages: a softmax of the scores, sharpened."""
+    apart = F.transform(scores, lambda x: (x - F.array_max(scores)) * sharpness)
+    total = F.log(F.aggregate(F.transform(apart, F.exp), F.lit(0.0), lambda a, x: a + x))
+    return F.transform(apart, lambda x: x - total)
+
+
+def calibrated(profiles: LanguageProfiles, scores: DataFrame, labelled: DataFrame, key: str = "doc_id", lang: str = "lang") -> LanguageProfiles:
+    """The profiles with the sharpness that best predicts the labels of documents held back.
+
+    Least log loss over SHARPNESS, with targets drawn in by 1 / (documents + 2), so that
+    few or only easy documents do not make every answer certain; the first of equal losses.
+    """
+    count = len(profiles.languages)
+    if count < 2:
+        return profiles
+    names = F.array(*[F.lit(name) for name in profiles.languages])
+    truth = labelled.filter(held_back(F.col(key))).select(key, F.array_position(names, F.col(lang)).cast("int").alias("_true"))
+    rows = scores.join(truth.filter(F.col("_true") > 0), key).filter(F.col("scores").isNotNull())
+    aside = 1.0 / (rows.count() + 2)
+
+    def loss(sharpness: float) -> Column:
+        shares = _shares(F.col("scores"), sharpness)
+        own, all_ = F.get(shares, F.col("_true") - 1), F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+        return F.sum(-(1 - aside) * own - aside / (count - 1) * (all_ - own))
+
+    losses = rows.agg(*[loss(x).alias(f"_{i}") for i, x in enumerate(SHARPNESS)]).first()
+    if losses[0] is None:
+        return profiles
+    return replace(profiles, sharpness=SHARPNESS[min(range(len(SHARPNESS)), key=lambda i: losses[i])])
+
+
+def profiled_language(scores: Column, profiles: LanguageProfiles) -> Column:
+    """A struct ``lang, confidence`` from :func:`language_scores`; ties go to the first name, without scores both are null."""
+    names = F.array(*[F.lit(name) for name in profiles.languages]).cast("array<string>")
+    best = F.array_position(scores, F.array_max(scores)).cast("int")
+    share = F.exp(F.array_max(_shares(scores, profiles.sharpness)))
+    return F.struct(F.get(names, best - 1).alias("lang"), F.when(scores.isNotNull(), share).alias("confidence"))
+
+
 def exact_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text_hash, copies, duplicate_of`` per row; the least key of equal texts is the original.
 
@@ -117,13 +230,20 @@ def outliers(documents: DataFrame, by: Sequence[str], column: str = "n_chars", f
 
 
 def quality_flags(
-    documents: DataFrame, by: Sequence[str], key: str = "doc_id", text: str = "text", scores: DataFrame | None = None, near: DataFrame | None = None
+    documents: DataFrame,
+    by: Sequence[str],
+    key: str = "doc_id",
+    text: str = "text",
+    scores: DataFrame | None = None,
+    near: DataFrame | None = None,
+    languages: DataFrame | None = None,
 ) -> DataFrame:
     """``key, quality_flag``: names of the filters a document fails, in a fixed order; empty where all pass.
 
     Two reasons come from frames computed beside this one, and are looked for
     only if these are given: ``perplexity`` from ``scores`` (``key, perplexity``)
     and ``near_duplicate`` from ``near``, the keys of documents to leave out as such.
+    ``languages`` (``key, confidence``) takes the place of the word lists.
     """
     found = F.col(text)
     measured = documents.select(
@@ -133,16 +253,18 @@ def quality_flags(
         length_in_range(found).alias("_length"),
         (line_repetition(found) <= MAX_LINE_REPETITION).alias("_lines"),
         (word_repetition(found) <= MAX_WORD_REPETITION).alias("_words"),
-        (F.coalesce(language(found)["confidence"], F.lit(0.0)) >= MIN_CONFIDENCE).alias("_language"),
+        *([] if languages is not None else [language(found)["confidence"].alias("_confidence")]),
         F.sha2(found.cast("binary"), 256).alias("text_hash"),
     )
     firsts = measured.filter(F.col("text_hash").isNotNull()).groupBy("text_hash").agg(F.min(key).alias("_first"))
     joined = outliers(measured, by).join(firsts, "text_hash", "left")
+    if languages is not None:
+        joined = joined.join(languages.select(key, F.col("confidence").alias("_confidence")), key, "left")
     reasons = [
         ("length", ~F.col("_length")),
         ("line_repetition", ~F.col("_lines")),
         ("word_repetition", ~F.col("_words")),
-        ("language", ~F.col("_language")),
+        ("language", F.coalesce("_confidence", F.lit(0.0)) < MIN_CONFIDENCE),
     ]
     if scores is not None:
         joined = joined.join(scores.select(key, F.col("perplexity").alias("_perplexity")), key, "left")

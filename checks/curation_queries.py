@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.operators import curation
+from annalist.operators.chains import written
 from annalist.session import work_dir
 from checks.registry import SQL, Tables, query
 
@@ -17,20 +20,36 @@ def _share(parts: str) -> str:
     return f"CASE WHEN len({parts}) > 0 THEN 1 - len(list_distinct({parts})) / len({parts}) ELSE 0.0 END"
 
 
-def _hits(lang: str) -> str:
-    known = ", ".join(f"'{w}'" for w in curation.PROFILES[lang])
-    return f"len(list_filter(w, lambda x: x IN ({known})))"
-
-
 _MEASURED = f"""
 SELECT doc_id, source, length(coalesce(text, '')) AS n_chars, {_share(_LINES)} AS line_share, {_share(_WORDS)} AS word_share, sha256(text) AS text_hash
 FROM documents
 """
+_HELD_BACK = "substr(md5(d.doc_id::VARCHAR), 1, 1) IN ('0', '1', '2')"
 _LANGUAGE = f"""
-SELECT doc_id, CASE WHEN total > 0 THEN CASE greatest(de, en, es, fr) WHEN de THEN 'de' WHEN en THEN 'en' WHEN es THEN 'es' ELSE 'fr' END END AS lang_found,
-  CASE WHEN total > 0 THEN greatest(de, en, es, fr) / total END AS confidence
-FROM (SELECT doc_id, de, en, es, fr, de + en + es + fr AS total
-  FROM (SELECT doc_id, {', '.join(f'{_hits(c)} AS {c}' for c in sorted(curation.PROFILES))} FROM (SELECT doc_id, {_WORDS} AS w FROM documents)))
+WITH c AS (
+  SELECT doc_id, substr(t, i::INTEGER, 3) AS trigram, count(*) AS n
+  FROM (SELECT doc_id, t, unnest(range(1, length(t) - 1)) AS i FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents))
+  GROUP BY ALL
+), known AS (
+  SELECT lang, trigram, sum(n) AS n FROM c JOIN documents d ON d.doc_id = c.doc_id WHERE lang IS NOT NULL AND NOT {_HELD_BACK} GROUP BY ALL
+), sizes AS (SELECT lang, sum(n) + (SELECT count(DISTINCT trigram) FROM known) AS size FROM known GROUP BY lang
+), score AS (
+  SELECT c.doc_id, s.lang, sum(c.n * ln((coalesce(k.n, 0) + 1)::DOUBLE / size)) / sum(c.n) AS d
+  FROM c CROSS JOIN sizes s LEFT JOIN known k ON k.lang = s.lang AND k.trigram = c.trigram GROUP BY ALL
+), apart AS (SELECT *, d - max(d) OVER (PARTITION BY doc_id) AS away, row_number() OVER (PARTITION BY doc_id ORDER BY d DESC, lang) AS place FROM score
+), shares AS (
+  SELECT *, sharp * away - ln(sum(exp(sharp * away)) OVER (PARTITION BY doc_id, sharp)) AS share
+  FROM apart CROSS JOIN (VALUES {', '.join(f'({x}::DOUBLE)' for x in curation.SHARPNESS)}) AS grid(sharp)
+), answers AS (
+  SELECT h.doc_id, h.sharp, sum(share) FILTER (h.lang = d.lang) AS own, sum(share) AS everything
+  FROM shares h JOIN documents d ON d.doc_id = h.doc_id WHERE {_HELD_BACK} AND d.lang IN (SELECT lang FROM sizes) GROUP BY ALL
+), numbers AS (SELECT 1.0::DOUBLE / (count(DISTINCT doc_id) + 2) AS aside, (SELECT count(*) FROM sizes) AS languages FROM answers
+), chosen AS (
+  SELECT sharp FROM answers, numbers WHERE languages > 1 GROUP BY sharp
+  ORDER BY sum(-(1 - aside) * own - aside / (languages - 1) * (everything - own)), sharp LIMIT 1
+)
+SELECT d.doc_id, h.lang AS lang_found, exp(h.share) AS confidence
+FROM documents d LEFT JOIN (SELECT * FROM shares WHERE place = 1 AND sharp = coalesce((SELECT sharp FROM chosen), 1)) h ON h.doc_id = d.doc_id
 """
 _FENCES = """
 SELECT source, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high
@@ -56,8 +75,17 @@ def repetition_filter(t: Tables) -> DataFrame:
 
 @query("lang_id", f"SELECT doc_id, lang_found, round(confidence, 6) AS confidence FROM ({_LANGUAGE})")
 def lang_id(t: Tables) -> DataFrame:
-    found = t.texts.select("doc_id", curation.language(F.col("text")).alias("found"))
-    return found.select("doc_id", F.col("found.lang").alias("lang_found"), F.round("found.confidence", 6).alias("confidence"))
+    return languages(t).select("doc_id", F.col("lang").alias("lang_found"), F.round("confidence", 6).alias("confidence"))
+
+
+def languages(t: Tables) -> DataFrame:
+    """``doc_id, lang, confidence`` by profiles of the labelled texts, a row for every document."""
+    texts = t.texts.select("doc_id", "lang", "text")
+    profiles = curation.language_profiles(written(curation.profile_counts(texts), "profile-counts"))
+    profiles = replace(profiles, table=written(profiles.table, "profiles"))
+    scored = written(curation.language_scores(texts, profiles), "language-scores")
+    profiles = curation.calibrated(profiles, scored, t.documents.select("doc_id", "lang"))
+    return scored.select("doc_id", curation.profiled_language(F.col("scores"), profiles).alias("_found")).select("doc_id", "_found.*")
 
 
 @query(
@@ -93,7 +121,7 @@ def outliers(t: Tables) -> DataFrame:
     """,
 )
 def quality_flags(t: Tables) -> DataFrame:
-    flags = curation.quality_flags(t.texts, ["source"])
+    flags = curation.quality_flags(t.texts, ["source"], languages=languages(t))
     return flags.select("doc_id", F.concat_ws(",", "quality_flag").alias("quality_flag"))
 
 
