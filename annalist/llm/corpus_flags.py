@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from annalist.llm import jaccard_join
 from annalist.llm.frames import stage
 from annalist.operators import curation
-from checks.curation_queries import scores
+from checks.curation_queries import languages, scores
 from checks.registry import Tables
 
 #: The connected groups of near copies are not SQL; a test compares with a brute-force version.
@@ -24,5 +24,5 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     near = stage(near_duplicates(t.documents.select("doc_id", "text")), "near-duplicates")
-    flags = curation.quality_flags(t.texts, ["source"], scores=stage(scores(t), "perplexities"), near=near)
+    flags = curation.quality_flags(t.texts, ["source"], scores=stage(scores(t), "perplexities"), near=near, languages=languages(t))
     return flags.select("doc_id", F.concat_ws(",", "quality_flag").alias("quality_flag"))
