@@ -28,24 +28,37 @@ def file_name(path: Column) -> Column:
 # --- dictionaries -----------------------------------------------------------
 
 
-def read_dictionary_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed dictionary files: file, text. Encoded in windows-1251."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("path").alias("file"), decode_cp1251(F.col("content")).alias("text"))
+def read_dictionary_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of landed dictionary files: file, line_no, line. Encoded in windows-1251.
+
+    Files are read as lines of bytes, which Spark cuts into blocks at line ends, so
+    a large file is the work of many tasks. ``line_no`` grows with the place in the
+    file but leaves numbers out: it counts from the start of the line's block. A
+    file that cannot be read gives the lines before its fault, mostly none, and stops
+    no other.
+    """
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        decode_cp1251(F.col("value").cast("binary")).alias("line"),
+    )
+    # A line has a byte at least, so numbers of a block end before the next one's begin.
+    first = F.min("_row").over(Window.partitionBy("file", "_block"))
+    return lines.select("file", (F.col("_block") + F.col("_row") - first).alias("line_no"), "line")
 
 
-def dictionary_lines(files: DataFrame) -> DataFrame:
+def dictionary_lines(lines: DataFrame) -> DataFrame:
     """Tab-separated lines to entries. Lines without two fields or without a
     whole number in front are dropped, further fields are ignored."""
-    rest = [c for c in files.columns if c != "text"]
-    lines = files.select(*rest, F.posexplode(F.split(strip_text(F.col("text")), "\n")).alias("line_no", "_line"))
-    fields = F.split("_line", "\t")
+    fields = F.split("line", "\t")
     return (
         lines.filter(F.size(fields) >= 2)
         .withColumn("entry_id", strip_text(fields[0]).try_cast("int"))
         .withColumn("entry_name", strip_text(fields[1]))
         .filter(F.col("entry_id").isNotNull())
-        .drop("_line")
+        .drop("line")
     )
 
 
@@ -60,17 +73,16 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def dictionary_entries(manifest: DataFrame, files: DataFrame) -> DataFrame:
+def dictionary_entries(manifest: DataFrame, lines: DataFrame) -> DataFrame:
     """Entries of every dictionary whose file has landed; the others are skipped."""
     linked = manifest.withColumn("_name", file_name(F.col("link")))
-    landed = files.withColumn("_name", file_name(F.col("file")))
-    entries = dictionary_lines(linked.join(landed, "_name").select("dict_type", "text"))
+    entries = dictionary_lines(lines.withColumn("_name", file_name(F.col("file")))).join(linked, "_name")
     return entries.select("dict_type", "entry_id", "entry_name", F.col("line_no").cast("long").alias("seq"))
 
 
-def missing_dictionaries(manifest: DataFrame, files: DataFrame) -> DataFrame:
-    """Manifests without a link or without a landed file."""
-    landed = files.select(file_name(F.col("file")).alias("_name"))
+def missing_dictionaries(manifest: DataFrame, lines: DataFrame) -> DataFrame:
+    """Manifests without a link, without a landed file or whose file gives no line, as it is empty or cannot be read."""
+    landed = lines.select(file_name(F.col("file")).alias("_name")).distinct()
     return manifest.withColumn("_name", file_name(F.col("link"))).join(landed, "_name", "left_anti").drop("_name")
 
 

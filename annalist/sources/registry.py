@@ -60,9 +60,9 @@ class LandingZone(SourceReader):
 
     def dictionaries(self, spark: SparkSession) -> DataFrame:
         path = self.config["path"]
-        files = landing.read_dictionary_files(spark, f"{path}/dictionaries")
+        lines = landing.read_dictionary_lines(spark, f"{path}/dictionaries")
         manifest = landing.read_manifests(spark, f"{path}/manifests")
-        return landing.dictionary_entries(manifest, files).withColumn("source", F.lit(self.name))
+        return landing.dictionary_entries(manifest, lines).withColumn("source", F.lit(self.name))
 
     def _pages(self, spark: SparkSession) -> DataFrame:
         return landing.read_pages(spark, f"{self.config['path']}/list").withColumn("source", F.lit(self.name))

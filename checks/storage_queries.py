@@ -140,12 +140,10 @@ def dictionary_reader(t: Tables) -> DataFrame:
     coded = F.translate(line, upper.decode("cp1251", errors="replace"), upper.decode("latin-1"))
     (
         names.select("dict_type", F.encode(coded, "iso-8859-1").cast("string").alias("value"))
-        .write.option("maxRecordsPerFile", 100_000)
-        .partitionBy("dict_type")
+        .write.partitionBy("dict_type")
         .text(path)
     )
-    files = landing.read_dictionary_files(t.spark, path)
-    entries = landing.dictionary_lines(files)
+    entries = landing.dictionary_lines(landing.read_dictionary_lines(t.spark, path))
     return entries.select(
         F.regexp_extract("file", r"dict_type=([^/]+)/", 1).alias("dict_type"), "entry_id", "entry_name"
     )

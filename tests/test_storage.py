@@ -95,11 +95,40 @@ def test_dictionaries(spark, tmp_path):
         ("s", "status", 0, "Невизначено"), ("s", "status", 7, "X"), ("s", "status", 1, "Чинний ї"),
     ]
     missing = landing.missing_dictionaries(
-        landing.read_manifests(spark, f"{tmp_path}/manifests"), landing.read_dictionary_files(spark, f"{tmp_path}/dictionaries")
+        landing.read_manifests(spark, f"{tmp_path}/manifests"), landing.read_dictionary_lines(spark, f"{tmp_path}/dictionaries")
     )
     assert sorted(r["dict_type"] for r in missing.collect()) == ["org", "theme"]
 
 
+def test_a_dictionary_file_is_read_by_many_tasks(spark, tmp_path):
+    names = {i: f"Назва №{i} ї" * (1 + i % 7) for i in range(400)}
+    lines = "\r\n".join(["", " ", *(line for i, name in names.items() for line in (f"{i}\t{name}\tmore", "", "x\tno", str(i)))])
+    put_file(tmp_path / "dictionaries/big.txt", lines.encode("cp1251") + b"\n400\t\x98")
+    put_file(tmp_path / "dictionaries/small.txt", "2\tБ\n1\tА".encode("cp1251"))
+    put_file(tmp_path / "dictionaries/broken.txt.gz", b"1\tno archive\n")
+    put_file(tmp_path / "dictionaries/empty.txt", b"")
+    for name, file in {"big": "big.txt", "small": "small.txt", "broken": "broken.txt.gz", "empty": "empty.txt"}.items():
+        put_file(tmp_path / f"manifests/{name}.json", json.dumps({"id": name, "item": [{"link": f"http://x/{file}"}]}))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10b")
+        read = landing.read_dictionary_lines(spark, f"{tmp_path}/dictionaries")
+        assert read.filter("file LIKE '%big.txt'").select(F.spark_partition_id()).distinct().count() > 1
+        tasks = spark.read.option("lineSep", "\n").text(f"{tmp_path}/dictionaries/big.txt").rdd.getNumPartitions()
+        rows = get_source("landing_zone", "s", path=str(tmp_path)).dictionaries(spark).collect()
+        missing = landing.missing_dictionaries(landing.read_manifests(spark, f"{tmp_path}/manifests"), read).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tasks > 5
+    found = {d: [(r["entry_id"], r["entry_name"]) for r in sorted(rows, key=lambda r: r["seq"]) if r["dict_type"] == d] for d in ("big", "small")}
+    assert found["big"] == [*names.items(), (400, "\ufffd")]
+    assert found["small"] == [(2, "Б"), (1, "А")]
+    assert len({(r["dict_type"], r["seq"]) for r in rows}) == len(rows) == 403
+    assert sorted(r["dict_type"] for r in missing) == ["broken", "empty"]
+
+
 def test_object_listing(spark, tmp_path):
     put_file(tmp_path / "area/date=2026-01-01/a.txt", "a\n\nc")
     put_file(tmp_path / "area/b.v2.txt", "é")
