@@ -15,12 +15,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annalist.llm.arrays import distinct, joined_points, letters, mix, string_texts
-from annalist.llm.frames import id_hash, stage, with_results
+from annalist.llm.frames import id_hash, with_results
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -61,6 +61,15 @@ def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _packed(values: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     """The hash of the ``order`` characters that end at each of the places."""
+    if 2 * len(at) > len(values):
+        # Most places are wanted: all are hashed, by whole columns.
+        size = len(values) - order + 1
+        out = np.zeros(size, dtype=np.uint64)
+        for step in range(order):
+            out *= np.uint64(0x100000001B3)
+            out += values[step : step + size]
+            out += np.uint64(1)
+        return mix(out[at - (order - 1)] + np.uint64(order))
     out = np.zeros(len(at), dtype=np.uint64)
     for back in range(order - 1, -1, -1):
         out = out * np.uint64(0x100000001B3) + values[at - back] + np.uint64(1)
@@ -76,28 +85,47 @@ def _places(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(inside)
 
 
+#: Rows of counts a task holds before it hands them on (some 30 bytes each).
+HELD_COUNTS = 2_000_000
+
+
+def _summed(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    names = [*(f"c{i}" for i in range(ORDER)), "lang"]
+    return pd.concat(parts).groupby(names, as_index=False, sort=False).sum()
+
+
+def _owners(starts: np.ndarray) -> np.ndarray:
+    """The text each of the places is in."""
+    sizes = np.diff(starts)
+    return np.repeat(np.arange(len(sizes)), np.where(sizes > 0, sizes - (ORDER - 1), 0))
+
+
 def _counted(langs: list[str]):
-    """Four-gram counts per language over a task: hash, its characters and count."""
+    """Four-gram counts per language over a task: the characters, the language and the count."""
+
+    place_of = {name: i for i, name in enumerate(langs)}
+    types = {**{f"c{i}": "int32" for i in range(ORDER)}, "lang": "int32", "n": "int64"}
 
     def run(batches):
         parts: list[pd.DataFrame] = []
         for batch in batches:
-            lang = np.array([langs.index(x) for x in batch.column(1).to_pylist()])
+            lang = np.array([place_of[x] for x in batch.column(1).to_pylist()], dtype=np.int32)
             for start, stop, texts in string_texts(batch.column(0)):
                 values, starts = _characters(texts)
                 at = _places(values, starts)
-                owner = np.searchsorted(starts, at, side="right") - 1
+                owner = _owners(starts)
                 key = mix(_packed(values, at, ORDER) + lang[start:stop][owner].astype(np.uint64))
                 found, first, which = distinct(key)
                 place = at[first]
-                grams = pd.DataFrame({f"c{i}": values[place - ORDER + 1 + i].astype(np.int64) for i in range(ORDER)})
+                grams = pd.DataFrame({f"c{i}": values[place - ORDER + 1 + i].astype(np.int32) for i in range(ORDER)})
                 grams["lang"], grams["n"] = lang[start:stop][owner[first]], np.bincount(which, minlength=len(found))
                 parts.append(grams)
                 if len(parts) > 16:
-                    parts = [pd.concat(parts).groupby([*(f"c{i}" for i in range(ORDER)), "lang"], as_index=False).sum()]
+                    parts = [_summed(parts)]
+                    if len(parts[0]) > HELD_COUNTS:
+                        yield pa.RecordBatch.from_pandas(parts.pop().astype(types), preserve_index=False)
         if parts:
-            total = pd.concat(parts).groupby([*(f"c{i}" for i in range(ORDER)), "lang"], as_index=False).sum()
-            yield pa.RecordBatch.from_pandas(total.astype("int64"), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(_summed(parts).astype(types), preserve_index=False)
 
     return run
 
@@ -174,12 +202,44 @@ def _estimate(counts: pd.DataFrame, langs: list[str]) -> tuple[list[tuple[np.nda
     return tables, unseen
 
 
+_directories: dict[int, tuple[np.ndarray, np.ndarray, np.uint64]] = {}
+
+
+def _directory(table: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """Where the hashes with the same first bits begin, two such ranges per hash, and the shift that leaves these bits."""
+    known = _directories.get(id(table))
+    if known is None or known[0] is not table:
+        bits = max(1, (2 * len(table)).bit_length())
+        shift = np.uint64(64 - bits)
+        starts = np.searchsorted(table, np.arange(1 << bits, dtype=np.uint64) << shift)
+        if len(_directories) >= 4 * ORDER:
+            _directories.clear()
+        known = _directories[id(table)] = (table, starts, shift)
+    return known[1], known[2]
+
+
 def _find(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Index of each wanted hash, or -1."""
+    """Index of each wanted hash, or -1. Hashes are spread evenly, so few steps from the start of its range lead to each."""
     if not len(table):
         return np.full(len(wanted), -1)
-    place = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-    return np.where(table[place] == wanted, place, -1)
+    starts, shift = _directory(table)
+    last = len(table) - 1
+    place = np.minimum(starts.take(wanted >> shift), last)
+    found = table.take(place)
+    at = np.flatnonzero(found != wanted)
+    out = place.copy()
+    out[at] = -1
+    at = at[found[at] < wanted[at]]
+    place = place[at] + 1
+    while len(at):
+        inside = place <= last
+        at, place = at[inside], place[inside]
+        found, own = table[place], wanted[at]
+        equal = found == own
+        out[at[equal]] = place[equal]
+        further = found < own
+        at, place = at[further], place[further] + 1
+    return out
 
 
 def _log_probabilities(values: np.ndarray, at: np.ndarray, tables, unseen: np.ndarray) -> np.ndarray:
@@ -189,9 +249,14 @@ def _log_probabilities(values: np.ndarray, at: np.ndarray, tables, unseen: np.nd
     for order in range(ORDER, 0, -1):
         hashes, p, _ = tables[order - 1]
         found = _find(hashes, _packed(values, place, order))
-        seen = found >= 0
-        out[pending[seen]] += p[found[seen]]
-        pending, place = pending[~seen], place[~seen]
+        missed = np.flatnonzero(found < 0)
+        if order == ORDER and len(hashes):
+            out = p.take(found, axis=0, mode="clip").astype(np.float64)
+            out[missed] = 0
+        elif len(missed) < len(found):
+            seen = found >= 0
+            out[pending[seen]] += p[found[seen]]
+        pending, place = pending[missed], place[missed]
         if not len(pending):
             return out
         if order > 1:
@@ -211,7 +276,7 @@ def entropies(texts: list[str], models: Models) -> tuple[np.ndarray, np.ndarray]
     counts = np.zeros(len(texts), dtype=np.int64)
     if len(at):
         logs = _log_probabilities(values, at, models.tables, models.unseen)
-        owner = np.searchsorted(starts, at, side="right") - 1
+        owner = _owners(starts)
         first = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
         total[owner[first]] = -np.add.reduceat(logs, first, axis=0)
         counts = np.bincount(owner, minlength=len(texts))
@@ -227,36 +292,27 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(id_hash(id_column) % 4 == 2, F.lit(False))
 
 
-def fit(documents: DataFrame, per_language: int = 1500, kept: float = 0.995, most_languages: int = 500) -> Models:
-    """Models of the languages in ``lang``, from at most ``per_language`` texts each.
+def fit(documents: DataFrame, kept: float = 0.995, most_languages: int = 500) -> Models:
+    """Models of the languages in ``lang``, from all their texts, taken whole.
 
-    The texts of the smallest id hashes of each language, taken whole; rows with
-    a null language or id and held-out ids are not used. The sample bounds
-    what the driver gathers, n-gram counts summed by Spark. ``kept`` is the share
-    of a language's training texts that its rejection limit lets pass. More than
-    ``most_languages`` languages are an error: texts of one without a model would
-    all be given a wrong language.
+    Rows with a null language or id and held-out ids are not used. Spark counts the
+    n-grams of every other row; what the driver gathers are the counts of distinct
+    n-grams per language, from which the tables are made. ``kept`` is the share of a
+    language's training texts, all of them scored, that its rejection limit lets pass.
+    More than ``most_languages`` languages are an error: texts of one without a model
+    would all be given a wrong language.
     """
-    known = documents.where(learned() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
-    if len(sizes) > most_languages:
+    known = documents.where(learned() & F.col("lang").isNotNull()).select("text", "lang")
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().limit(most_languages + 1).collect())
+    if len(langs) > most_languages:
         raise ValueError(f"more than most_languages={most_languages} languages to learn")
-    langs = sorted(sizes)
     if not langs:
         return Models([], [], np.zeros(0), np.zeros(0))
-    ids = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    # Ranked among a hash range that holds the sample with room to spare, so that no task sorts a whole language.
-    share = F.coalesce(F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, (per_language * 2 + 1000) / sizes[k]))])[F.col("lang")], F.lit(0.0))
-    ids = ids.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = ids.select("lang", "doc_id", rank.alias("rank")).where(F.col("rank") <= per_language).select("doc_id").distinct()
-    # At most per_language ids of each language: small enough for every task.
-    sample = stage(known.join(F.broadcast(chosen), "doc_id").select("text", "lang"), "language-sample")
-    schema = ", ".join([*(f"c{i} long" for i in range(ORDER)), "lang long", "n long"])
-    grams = sample.mapInArrow(_counted(langs), schema).groupBy(*[f"c{i}" for i in range(ORDER)], "lang").agg(F.sum("n").alias("n"))
-    tables, unseen = _estimate(grams.toPandas(), langs)
+    schema = ", ".join([*(f"c{i} int" for i in range(ORDER)), "lang int", "n long"])
+    grams = known.mapInArrow(_counted(langs), schema).groupBy(*[f"c{i}" for i in range(ORDER)], "lang").agg(F.sum("n").alias("n"))
+    tables, unseen = _estimate(grams.toArrow().to_pandas(), langs)
     models = Models(langs, tables, unseen, np.full(len(langs), np.inf))
-    own = sample.mapInArrow(_entropy_of(models), "lang long, entropy double")
+    own = known.mapInArrow(_entropy_of(models), "lang long, entropy double")
     limits = own.groupBy("lang").agg(F.percentile_approx("entropy", kept, 10000).alias("limit")).collect()
     for row in limits:
         # Room above the training texts: the others were not seen.
@@ -265,9 +321,11 @@ def fit(documents: DataFrame, per_language: int = 1500, kept: float = 0.995, mos
 
 
 def _entropy_of(models: Models):
+    place_of = {name: i for i, name in enumerate(models.langs)}
+
     def run(batches):
         for batch in batches:
-            lang = np.array([models.langs.index(x) for x in batch.column(1).to_pylist()], dtype=np.int64)
+            lang = np.array([place_of[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
             for start, stop, texts in string_texts(batch.column(0)):
                 found, counts = entropies(texts, models)
                 own = lang[start:stop]
