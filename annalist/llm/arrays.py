@@ -83,7 +83,8 @@ def _prime_power(base: int, size: int) -> np.ndarray:
     known = _powers.get(name)
     if known is None or len(known) < size:
         known = np.ones(1, dtype=np.uint64)
-        while len(known) < max(size, SLICE + 1024):
+        # Grown to what slices ask for, as four of these stay with each worker.
+        while len(known) < size:
             known = np.concatenate([known, _folded(known * np.uint64(pow(base, len(known), int(_PRIME))))])
         if len(known) <= 4 * SLICE:
             _powers[name] = known
@@ -127,11 +128,11 @@ def slices(sizes: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def byte_texts(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+def byte_texts(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, list[bytes]]]:
     """Slices of a text column as UTF-8 bytes; null counts as empty."""
     binary = column.cast(pa.binary())
     sizes = np.array(pc.fill_null(pc.binary_length(binary), 0), dtype=np.int64)
-    for start, stop in slices(sizes):
+    for start, stop in slices(sizes, limit):
         yield start, stop, [v or b"" for v in binary.slice(start, stop - start).to_pylist()]
 
 

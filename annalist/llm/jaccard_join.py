@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.llm.arrays import PrimeHashes, byte_texts, joined_bytes, mix, runs, sorted_set
+from annalist.llm.arrays import PrimeHashes, byte_texts, joined_bytes, mix, runs, slices, sorted_set
 from annalist.llm.components import components
 from annalist.llm.frames import stage, with_results
 
@@ -46,6 +46,8 @@ DENSE = 1.5
 #: Most members of a bucket that a task splits by itself (some 300 bytes each).
 IN_TASK = 100_000
 BINS = 128
+#: Bytes of text hashed at once; two polynomials over them hold some 200 bytes for each.
+SLICE = 1 << 18
 
 
 def needed_runs(threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> int:
@@ -97,7 +99,7 @@ def _features(repeats: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
-            for start, stop, texts in byte_texts(batch.column(1)):
+            for start, stop, texts in byte_texts(batch.column(1), SLICE):
                 rows = []
                 for tokens in shingle_sets(texts):
                     paths = [[_picked(tokens, r, level) if len(tokens) else [] for r in range(repeats)] for level in range(len(PICKS))]
@@ -300,7 +302,9 @@ def _verified(threshold: float):
         copies, leaf, crossing = pdf["copies"].to_numpy(), pdf["leaf"].tolist(), (pdf["low"] != pdf["high"]).to_numpy()
         out = []
         for start, stop in _unit_ranges(pdf):
-            sets = list(shingle_sets([t or b"" for t in pdf["text"].iloc[start:stop]]))
+            texts = [t or b"" for t in pdf["text"].iloc[start:stop]]
+            parts = slices(np.array([len(t) for t in texts], dtype=np.int64), SLICE)
+            sets = [s for first, last in parts for s in shingle_sets(texts[first:last])]
             sizes = np.array([len(s) for s in sets])
             if stop - start == 2:
                 overlap = np.zeros((2, 2))
@@ -399,7 +403,7 @@ def _of_key(batches):
     """Rows whose text has the wanted set."""
     for batch in batches:
         wanted = batch.column(0).to_pylist()
-        for start, stop, texts in byte_texts(batch.column(2)):
+        for start, stop, texts in byte_texts(batch.column(2), SLICE):
             keep = [set_key(tokens) == wanted[start + i] for i, tokens in enumerate(shingle_sets(texts))]
             yield batch.slice(start, stop - start).filter(pa.array(keep, pa.bool_()))
 
@@ -418,7 +422,7 @@ def without_similar(documents: DataFrame, id_column: str = "doc_id", text: str =
     found = similar(documents, id_column, text, threshold)
     kept = found.where(F.col("id").eqNullSafe(F.col("class_id"))).select(F.coalesce(F.col("id").cast("string"), F.lit("null id")).alias("_id"), "k").distinct()
     results = T.StructType([T.StructField("_k", T.BinaryType()), T.StructField("_size", T.LongType())])
-    rows = with_results(documents, text, results, None, _keys)
+    rows = with_results(documents, text, results, None, _keys, SLICE)
     rows = rows.select("row", "_k", "_size", F.coalesce(F.col("row")[id_column].cast("string"), F.lit("null id")).alias("_own"))
     stays = rows.join(kept, (rows["_own"] == kept["_id"]) & (rows["_k"] == kept["k"]), "left_semi")
     return stays.dropDuplicates(["_own", "_k"]).select("row.*")

@@ -1,5 +1,9 @@
 """Texts made so that sums modulo 2^64 cannot tell them apart."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -64,3 +68,19 @@ def test_texts_without_a_common_shingle_are_no_class(documents):
     rows = jaccard_join.similar(documents).collect()
     assert len({r.class_id for r in rows}) == len(TEXTS)
     assert jaccard_join.without_similar(documents).count() == len(TEXTS)
+
+
+def test_shingles_of_a_batch_hold_little_memory():
+    """In a fresh process, as powers stay with a worker: a batch of 4 MB is hashed in small slices."""
+    code = """
+import tracemalloc
+import pyarrow as pa
+from annalist.llm import jaccard_join as j
+texts = [" ".join(f"w{i * k}" for k in range(3000)) for i in range(1, 201)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["id", "text"])
+tracemalloc.start()
+assert sum(b.num_rows for b in j._features(1)([batch])) == 200
+print(tracemalloc.get_traced_memory()[1] >> 20)
+"""
+    peak = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(peak.stdout) < 60
