@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annalist.functions.text import text_length
+from annalist.operators import trigrams as grams
 
 # Limits of the filters.
 MIN_CHARS, MAX_CHARS = 100, 1_000_000
@@ -24,8 +25,8 @@ MAX_PERPLEXITY = 20.0
 NEAR_SIMILARITY = 0.95
 IQR_FACTOR = 1.5
 
-# Most trigrams of a model that is sent to all tasks, some 50 bytes each.
-BROADCAST_TRIGRAMS = 500_000
+# Most trigrams of a model that is sent to all tasks, and most numbers in it (8 bytes each).
+BROADCAST_TRIGRAMS, MOST_NUMBERS = 500_000, 8_000_000
 # Lists of ids up to this length (8 bytes each) go to the texts, longer ones meet them in a shuffle.
 BROADCAST_IDS = 5_000_000
 
@@ -116,8 +117,7 @@ class LanguageProfiles:
 def profile_counts(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, trigram, n`` over the whole texts that are labelled and not held back."""
     learned = documents.filter(F.col(lang).isNotNull() & ~held_back(F.col(key)))
-    places = trigrams(learned, lang, text).filter(F.col("trigram").isNotNull())
-    return places.groupBy(F.col(lang).alias("lang"), "trigram").agg(F.count(F.lit(1)).alias("n"))
+    return grams.counts(learned, text, lang).select(F.col("by").alias("lang"), "trigram", "n")
 
 
 def language_profiles(counts: DataFrame, most_languages: int = MOST_LANGUAGES) -> LanguageProfiles:
@@ -138,16 +138,23 @@ def language_profiles(counts: DataFrame, most_languages: int = MOST_LANGUAGES) -
     return replace(profiles, table=counts.groupBy("trigram").agg(*log_p))
 
 
+def _fits(table: DataFrame, small: int) -> bool:
+    """Whether a table of trigrams may go to every task: few rows, and few numbers in all."""
+    most = min(small, MOST_NUMBERS // (len(table.columns) - 1))
+    return table.limit(most + 1).count() <= most
+
+
 def language_scores(documents: DataFrame, profiles: LanguageProfiles, key: str = "doc_id", text: str = "text", small: int = BROADCAST_TRIGRAMS) -> DataFrame:
     """``key, scores``: the mean log probability of the whole text's trigrams under each profile.
 
     Null for a text without a trigram and without profiles. As with perplexities,
-    places meet a broadcast table of bounded size and collapse before a shuffle.
+    profiles of bounded size go to the texts; larger ones meet their places in a join.
     """
     if not profiles.languages:
         return documents.select(key, F.lit(None).cast("array<double>").alias("scores"))
-    known = F.broadcast(profiles.table) if profiles.table.limit(small + 1).count() <= small else profiles.table
-    joined = trigrams(documents, key, text).join(known, "trigram", "left")
+    if _fits(profiles.table, small):
+        return grams.means(documents, key, text, profiles.table, profiles.columns(), profiles.unseen).withColumnRenamed("means", "scores")
+    joined = trigrams(documents, key, text).join(profiles.table, "trigram", "left")
     means = [
         F.avg(F.when(F.col("trigram").isNotNull(), F.coalesce(F.col(c), F.lit(low)))).alias(c)
         for c, low in zip(profiles.columns(), profiles.unseen, strict=True)
@@ -324,3 +331,20 @@ def trigram_perplexity(places: DataFrame, model: DataFrame, key: str = "doc_id",
     known = F.broadcast(model) if model.limit(small + 1).count() <= small else model
     log_p = F.when(F.col("trigram").isNotNull(), F.coalesce(F.col("log_p"), model.agg(F.min("log_p")).scalar()))
     return places.join(known, "trigram", "left").groupBy(key).agg(F.exp(-F.avg(log_p)).alias("perplexity"))
+
+
+def perplexities(documents: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "text", small: int = BROADCAST_TRIGRAMS) -> DataFrame:
+    """``key, perplexity`` as :func:`trigram_perplexity` gives them, without a row per place where the model fits.
+
+    The model is read several times: write it first.
+    """
+    rarest = model.agg(F.min("log_p")).first()[0]
+    if rarest is None or not _fits(model, small):
+        return trigram_perplexity(trigrams(documents, key, text), model, key, small)
+    found = grams.means(documents, key, text, model, ["log_p"], [rarest])
+    return found.select(key, F.exp(-F.get("means", F.lit(0))).alias("perplexity"))
+
+
+def good_counts(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``trigram, n`` over the whole texts."""
+    return grams.counts(documents, text).select("trigram", "n")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from annalist.operators import curation
 from annalist.operators.chains import written
-from annalist.session import work_dir
 from checks.registry import SQL, Tables, query
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
@@ -153,11 +152,8 @@ def trigram_perplexity(t: Tables) -> DataFrame:
 def scores(t: Tables) -> DataFrame:
     """Perplexities under a model of the labelled good texts."""
     good = curation.of_ids(t.texts.select("doc_id", "text"), t.labels.filter("quality = 1").select("doc_id"), "doc_id")
-    counts = curation.trigram_counts(curation.trigrams(good))
-    path = work_dir(t.spark, "trigrams")
-    counts.write.parquet(path)
-    model = curation.trigram_model(t.spark.read.schema(counts.schema).parquet(path))
-    return curation.trigram_perplexity(curation.trigrams(t.texts), model)
+    model = curation.trigram_model(written(curation.good_counts(good), "trigrams"))
+    return curation.perplexities(t.texts, written(model, "trigram-model"))
 
 
 @query(

@@ -93,3 +93,21 @@ def test_languages_of_documents_held_back(spark):
     sure = [r["lang"] == labels[r["doc_id"]] for r in held if r["confidence"] >= curation.MIN_CONFIDENCE]
     assert len(sure) >= 0.95 * len(held) and sum(sure) >= 0.99 * len(sure)
     print(len(held), sum(right) / len(right), sum(r["confidence"] for r in held) / len(held), len(sure))
+
+
+def test_trigrams_leave_tasks_as_counts_and_sums(spark):
+    """No row per place of a text: counts and means are those of the exploded places, copies of a key and odd texts included."""
+    texts = ["A\U0001f600\néx", "", None, "ab", "abc", "İstanbul ßtraße", "the cat " * 300, "\x00\x00\x00"]
+    rows = [(i % 7 if i % 5 else None, "en" if i % 2 else None, text) for i, text in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    places = curation.trigrams(docs)
+    counted = curation.good_counts(docs)
+    assert sorted(counted.collect()) == sorted(curation.trigram_counts(places).collect())
+    model = curation.trigram_model(curation.trigram_counts(curation.trigrams(docs.filter("lang = 'en'")))).localCheckpoint()
+    found = {r["doc_id"]: r["perplexity"] for r in curation.perplexities(docs, model).collect()}
+    expected = {r["doc_id"]: r["perplexity"] for r in curation.trigram_perplexity(places, model).collect()}
+    assert found.keys() == expected.keys()
+    assert all(found[k] is None if x is None else math.isclose(found[k], x, rel_tol=1e-9) for k, x in expected.items())
+    assert curation.perplexities(docs, model.limit(0)).filter("perplexity IS NOT NULL").count() == 0
+    plan = curation.language_scores(docs, curation.language_profiles(counted.selectExpr("'en' AS lang", "*")))._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Generate" not in counted._jdf.queryExecution().toString()
