@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions.paths import TEXT_SUFFIX
-from annalist.operators.chains import newest_per_key
+from annalist.operators.chains import join_alike, newest_per_key, written
 from annalist.sinks.files import child_names, claim, marked
 
 REVISION_PARTS = ["source", "year", "month", "day"]
 COLLECTION_PARTS = ["date", "source"]
 MANIFEST = "_manifest"
+# Lists of stored keys that stay are sent to all tasks up to this length (some 100 bytes each).
+BROADCAST_STAY = 500_000
 RAW_COLUMNS = ["source", "source_id", "revision_date", "collection_date", "text", "raw_metadata", "seq"]
 PROCESSED_COLUMNS = ["source", "source_id", "revision_date", "collection_date", "markdown", "seq"]
 
@@ -68,19 +70,24 @@ def put(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
     over several files, small ones share a task.
     """
     spark = df.sparkSession
-    batch = newest_per_key(df, keys, ["seq"])
-    # One row per touched partition: days times sources.
-    touched = df.select(*parts).distinct()
+    # Texts are shuffled to find the newest row of a key only where a key repeats.
+    repeats = not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    batch = newest_per_key(df, keys, ["seq"]) if repeats else df
+    # One row per touched partition: days times sources. Written, so that its size is known before stored texts meet it.
+    touched = written(df.select(*parts).distinct(), "touched")
     held = _in_force(spark, path, parts)
     if held is not None:
-        kept = read_area(df, path, parts).join(touched, parts, "left_semi").join(df.select(*keys).distinct(), keys, "left_anti")
-        batch = batch.unionByName(kept)
+        stored = read_area(df, path, parts).join(touched, parts, "left_semi")
+        # Keys tell which stored rows stay, so that the texts of the others are not moved.
+        stay = written(stored.select(*keys).join(df.select(*keys).distinct(), keys, "left_anti").distinct(), "stay")
+        listed = F.broadcast(stay) if stay.count() <= BROADCAST_STAY else stay
+        batch = batch.unionByName(join_alike(stored, listed, keys, "left_semi"))
     number = max([int(n) for n in child_names(spark, f"{path}/{MANIFEST}/_claims") if n.isdigit()], default=0) + 1
     if not claim(spark, f"{path}/{MANIFEST}/_claims/{number}"):
         raise ValueError(f"commit {number} is being written by another job")
     content = next(c for c in ("text", "markdown") if c in df.columns)
     rows = batch.withColumn("n_bytes", F.octet_length(content).cast("long")).withColumn("commit", F.lit(number))
-    rows.hint("rebalance", *parts).write.mode("append").partitionBy(*parts, "commit").parquet(path)
+    rows.hint("rebalance", *parts).write.mode("append").option("compression", "zstd").partitionBy(*parts, "commit").parquet(path)
     now = touched.withColumn("commit", F.lit(number))
     if held is not None:
         now = now.unionByName(held.join(touched, parts, "left_anti"))

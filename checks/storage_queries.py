@@ -20,7 +20,7 @@ from checks.registry import Tables, query
 
 def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
     path = work_dir(t.spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return t.spark.read.parquet(path)
 
 

@@ -461,3 +461,28 @@ def test_the_inventory_names_every_object(spark, tmp_path):
         ("by_revision/source=s/year=2025/month=01/day=05/2.txt", 0),
         ("by_revision/source=s/year=2026/month=01/day=05/1.txt", 6),
     ]
+
+
+def test_put_moves_no_text_to_tell_keys_apart(spark, tmp_path, monkeypatch):
+    """Where no key repeats in a batch, its rows are only dealt to partitions; copies of a key still leave the newest."""
+    asked = []
+    newest = layout.newest_per_key
+    monkeypatch.setattr(layout, "newest_per_key", lambda *a: asked.append(a) or newest(*a))
+    schema = "source string, source_id string, text string, seq long, day string"
+    keys = ["source", "source_id", "day"]
+
+    def put(*rows):
+        layout.put(spark.createDataFrame(list(rows), schema), str(tmp_path), ["source", "day"], keys)
+
+    def held():
+        area = layout.read_area(spark.createDataFrame([], schema), str(tmp_path), ["source", "day"])
+        return sorted((r["source_id"] or "", r["text"], r["day"]) for r in area.collect())
+
+    put(("a", "1", "old", 1, "01"), ("a", "2", "stays", 2, "01"), ("a", "1", "apart", 3, "02"), ("a", None, "none", 4, "01"))
+    put(("a", "1", "new", 1, "01"), ("a", None, "more", 2, "01"))
+    assert not asked
+    assert held() == [("", "more", "01"), ("", "none", "01"), ("1", "apart", "02"), ("1", "new", "01"), ("2", "stays", "01")]
+    monkeypatch.setattr(layout, "BROADCAST_STAY", 0)
+    put(("a", "1", "first", 1, "01"), ("a", "1", "last", 2, "01"))
+    assert len(asked) == 1
+    assert held() == [("", "more", "01"), ("", "none", "01"), ("1", "apart", "02"), ("1", "last", "01"), ("2", "stays", "01")]
