@@ -1,9 +1,15 @@
-"""Small questions to the file system that holds the tables."""
+"""Small questions to the file system that holds the tables, and files of given names."""
 
 from __future__ import annotations
 
+import re
+
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+
+# What Spark escapes in the names of partition folders.
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
 
 
 def _path(spark: SparkSession, path: str):
@@ -49,3 +55,30 @@ def claim(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def put_files(rows: DataFrame, folder: str, path: str) -> None:
+    """One file a row below ``path``: ``value`` as ``name``, in the partition folder of column ``folder``.
+
+    Spark's writers give a file a folder of its own if its name is to say what it
+    holds, and on local disks start three processes for folder, file and checksum.
+    Here a task writes its files one by one, by Arrow's file systems. Names must
+    differ within a folder; a task that is run again writes the same files anew.
+    """
+    system, location = _path(rows.sparkSession, path)
+    system.mkdirs(location)
+    root = re.sub("^file:/+", "file:///", system.makeQualified(location).toString())
+
+    def put(part) -> None:
+        target, base = fs.FileSystem.from_uri(root)
+        made = set()
+        for row in part:
+            value = _ESCAPED.sub(lambda found: f"%{ord(found[0]):02X}", row[folder] or "")
+            below = f"{base}/{folder}={value or '__HIVE_DEFAULT_PARTITION__'}"
+            if below not in made:
+                target.create_dir(below, recursive=True)
+                made.add(below)
+            with target.open_output_stream(f"{below}/{row['name']}") as out:
+                out.write((row["value"] or "").encode())
+
+    rows.select(folder, "name", "value").foreachPartition(put)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from annalist.functions.text import decode_cp1251, strip_text
 from annalist.functions.values import parse_iso_day
 from annalist.schemas import LIST_PAGE, LIST_RECORD_FIELDS, LIST_RECORD_KINDS, LIST_RECORD_TEXT, MANIFEST
+from annalist.session import work_dir
 
 # Fields that hold a day as a number such as 20260130.
 DAY_FIELDS = ("orgdat", "poddat", "pridat")
@@ -190,8 +191,15 @@ def typed_records(records: DataFrame) -> DataFrame:
 def listed_records(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Records of the complete pages: source, fields, record, record_error, seq.
 
-    ``seq`` counts the records of a source in list order, from 0.
+    ``seq`` counts the records of a source in list order, from 0. The pages are
+    staged, as opening a file costs more than its records: none is opened for its
+    size and once more for its list. Their rows are gathered first, for a task of
+    the reader has few files and would write one of its own.
     """
+    path = work_dir(pages.sparkSession, "list-pages")
+    columns = pages.select("source", "page", "announced", "list", "broken")
+    columns.hint("rebalance").write.option("compression", "zstd").parquet(path)
+    pages = pages.sparkSession.read.schema(columns.schema).parquet(path)
     kept = pages.join(_counted_pages(page_sizes(pages), max_pages), ["source", "page"])
     records = kept.select("source", "before", F.posexplode("list").alias("_at", "record"))
     return typed_records(records.select("source", "record", (F.col("before") + F.col("_at")).alias("seq")))

@@ -10,6 +10,7 @@ from annalist.functions.paths import document_paths
 from annalist.operators import history, intake, snapshots
 from annalist.session import work_dir
 from annalist.sinks import artefacts, layout
+from annalist.sinks.files import put_files
 from annalist.sinks.tables import HistoryTable
 from annalist.sources import landing
 from checks import feed
@@ -208,13 +209,18 @@ FROM {documents}
 def list_reader(t: Tables) -> DataFrame:
     """Pages written to the landing zone and read back, record by record."""
     records = t.spark.sql(_LANDED, documents=t.documents)
+    # A page is little data and much work, a file: without a number AQE would leave it all to a task or two.
+    tasks = max(4 * t.spark.sparkContext.defaultParallelism, t.documents.rdd.getNumPartitions())
+    records = records.repartition(tasks, "source", "page")
     lists = records.groupBy("source", "page").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "record"))), lambda r: r["record"]), ",").alias("list"),
         F.bool_or("cut").alias("cut"),
     )
     whole = F.concat(F.lit('{"max": 1000000000, "list": ['), "list", F.when(F.col("cut"), '], "').otherwise("]}"))
+    # Null and empty sources share a folder; a page without a number has none in its name.
+    name = F.concat(F.lit("page"), F.coalesce(F.col("page").cast("string"), F.lit("")), F.when(F.col("source") == "", ".empty").otherwise(""), F.lit(".json"))
     path = work_dir(t.spark, "pages")
-    lists.select("source", "page", whole.alias("value")).write.partitionBy("source", "page").text(path)
+    put_files(lists.select("source", name.alias("name"), whole.alias("value")), "source", path)
     pages = landing.read_pages(t.spark, path).withColumn("source", F.regexp_extract("file", "source=([^/]+)/", 1))
     read = landing.listed_records(pages)
     extra = F.get_json_object("record", "$.extra.n").cast("long")
